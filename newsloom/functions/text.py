@@ -6,6 +6,7 @@ white-space character, WORD every letter, number or underscore.
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, functions as F, types as T
 
 SPACE = r"\t-\r\x1c-\x1f\x{85}\p{Z}"
@@ -31,7 +32,7 @@ def squeeze(c: Column) -> Column:
 
 def _unescape_udf():
     @F.pandas_udf(T.StringType())
-    def unescape(texts: "pd.Series") -> "pd.Series":  # noqa: F821
+    def unescape(texts: pd.Series) -> pd.Series:
         import html
 
         return texts.map(html.unescape, na_action="ignore")
@@ -44,10 +45,15 @@ def unescape_entities(c: Column) -> Column:
     return F.coalesce(_unescape_udf()(F.when(F.contains(c, F.lit("&")), c)), c)
 
 
+def _without_markup(c: Column) -> Column:
+    """Entities to characters, then tags to blanks; most texts hold neither."""
+    text = unescape_entities(F.coalesce(c, F.lit("")))
+    return F.when(F.contains(text, F.lit("<")), F.regexp_replace(text, "<[^>]+>", " ")).otherwise(text)
+
+
 def sanitise(c: Column, max_length: int | None = None) -> Column:
     """Plain text of an HTML fragment: entities first, then tags to blanks, then squeeze."""
-    text = unescape_entities(F.coalesce(c, F.lit("")))
-    text = squeeze(F.regexp_replace(text, "<[^>]+>", " "))
+    text = squeeze(_without_markup(c))
     return text if max_length is None else F.substring(text, 1, max_length)
 
 
@@ -86,7 +92,8 @@ def tokens(c: Column) -> Column:
 
 
 def indexed_text(title: Column, summary: Column) -> Column:
-    return F.concat_ws(" ", sanitise(title), sanitise(summary))
+    """Text the keyword index is built on. White space is left as it is: tokens ignore it."""
+    return F.concat_ws(" ", _without_markup(title), _without_markup(summary))
 
 
 def preview(c: Column, n: int) -> Column:
