@@ -113,11 +113,14 @@ def _pad_right(c: Column, width: int) -> Column:
     return F.when(F.length(c) < width, F.rpad(c, width, " ")).otherwise(c)
 
 
-def report_line(name: Column, count: Column, pct: Column, name_width: int = 25) -> Column:
+def report_line(
+    name: Column, count: Column, pct: Column, name_width: int = 25, gap: str = "", count_width: int = 5
+) -> Column:
     """One line of the statistics report: padded name, padded count, share in percent."""
     return F.concat(
         _pad_right(name, name_width),
-        _pad_left(count.cast("string"), 5),
+        F.lit(gap),
+        _pad_left(count.cast("string"), count_width),
         F.lit(" bài ("),
         one_decimal(pct),
         F.lit("%)"),
