@@ -495,7 +495,7 @@ def merged(spark, d, **options):
 query(
     "merge_upsert",
     f"""WITH {sql.RECRAWL}
-SELECT CASE WHEN kind = 0 THEN id ELSE (SELECT max(doc_id) FROM documents) + row_number() OVER (PARTITION BY kind = 0 ORDER BY at) END AS id,
+SELECT CASE WHEN kind = 0 THEN id ELSE (SELECT max(doc_id) FROM documents) + row_number() OVER (PARTITION BY kind = 0 ORDER BY place) END AS id,
        title, md5(summary) AS summary_md5, link, published, category, language, source, crawled_time, kind > 0 AS is_new
 FROM merged""",
 )(
@@ -509,8 +509,8 @@ FROM merged""",
 query(
     "merge_counts",
     f"""WITH {sql.RECRAWL}
-SELECT sum(n_old)::BIGINT AS existing, sum(n_new)::BIGINT AS incoming, count(*) FILTER (n_old = 0) AS added,
-       (sum(n_new) - count(*) FILTER (n_old = 0))::BIGINT AS merged, (sum(n_old) + count(*) FILTER (n_old = 0))::BIGINT AS total
+SELECT sum(n_old)::BIGINT AS existing, sum(n_new)::BIGINT AS incoming, count(*) FILTER (WHERE n_old = 0) AS added,
+       (sum(n_new) - count(*) FILTER (WHERE n_old = 0))::BIGINT AS merged, (sum(n_old) + count(*) FILTER (WHERE n_old = 0))::BIGINT AS total
 FROM bases""",
 )(lambda spark, d: merged(spark, d).counters)
 

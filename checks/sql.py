@@ -197,28 +197,28 @@ rows_in AS (
   FROM pages
 ),
 keyed AS (
-  SELECT *, row_number() OVER (ORDER BY kind, seq) AS at,
+  SELECT *, row_number() OVER (ORDER BY kind, seq) AS place,
          CASE WHEN link <> '' THEN 'L:' || link
               ELSE 'F:' || {strip('title')} || chr(1) || {strip('source')} || chr(1) || {strip('published')} || chr(1) || {strip('category')} END AS key
   FROM rows_in
 ),
 bases AS (
-  SELECT key, coalesce(max(at) FILTER (kind = 0), min(at)) AS base_at,
-         count(*) FILTER (kind = 0) AS n_old, count(*) FILTER (kind > 0) AS n_new
+  SELECT key, coalesce(max(place) FILTER (WHERE kind = 0), min(place)) AS base_place,
+         count(*) FILTER (WHERE kind = 0) AS n_old, count(*) FILTER (WHERE kind > 0) AS n_new
   FROM keyed GROUP BY key
 ),
 chain AS (
-  SELECT k.* FROM keyed k JOIN bases b USING (key) WHERE k.kind > 0 OR k.at = b.base_at
+  SELECT k.* FROM keyed k JOIN bases b USING (key) WHERE k.kind > 0 OR k.place = b.base_place
 ),
 folded AS (
   SELECT key,
-         list_reduce(list(summary ORDER BY at), lambda a, b: CASE WHEN {blank('b')} THEN a WHEN {blank('a')} OR length(b) > length(a) * 1.2::DOUBLE THEN b ELSE a END) AS summary,
-         list_reduce(list(title ORDER BY at), lambda a, b: CASE WHEN {blank('a')} AND NOT ({blank('b')}) THEN b ELSE a END) AS title,
-         list_reduce(list(published ORDER BY at), lambda a, b: CASE WHEN {blank('a')} AND NOT ({blank('b')}) THEN b ELSE a END) AS published,
-         list_reduce(list(category ORDER BY at), lambda a, b: CASE WHEN {blank('a')} AND NOT ({blank('b')}) THEN b ELSE a END) AS category,
-         list_reduce(list(language ORDER BY at), lambda a, b: CASE WHEN {blank('a')} AND NOT ({blank('b')}) THEN b ELSE a END) AS language,
-         list_reduce(list(source ORDER BY at), lambda a, b: CASE WHEN {blank('a')} AND NOT ({blank('b')}) THEN b ELSE a END) AS source,
-         list_reduce(list(crawled_time ORDER BY at), lambda a, b:
+         list_reduce(list(summary ORDER BY place), lambda a, b: CASE WHEN {blank('b')} THEN a WHEN {blank('a')} OR length(b) > length(a) * 1.2::DOUBLE THEN b ELSE a END) AS summary,
+         list_reduce(list(title ORDER BY place), lambda a, b: CASE WHEN {blank('a')} AND NOT ({blank('b')}) THEN b ELSE a END) AS title,
+         list_reduce(list(published ORDER BY place), lambda a, b: CASE WHEN {blank('a')} AND NOT ({blank('b')}) THEN b ELSE a END) AS published,
+         list_reduce(list(category ORDER BY place), lambda a, b: CASE WHEN {blank('a')} AND NOT ({blank('b')}) THEN b ELSE a END) AS category,
+         list_reduce(list(language ORDER BY place), lambda a, b: CASE WHEN {blank('a')} AND NOT ({blank('b')}) THEN b ELSE a END) AS language,
+         list_reduce(list(source ORDER BY place), lambda a, b: CASE WHEN {blank('a')} AND NOT ({blank('b')}) THEN b ELSE a END) AS source,
+         list_reduce(list(crawled_time ORDER BY place), lambda a, b:
            CASE WHEN try_cast(a AS TIMESTAMP) IS NOT NULL AND try_cast(b AS TIMESTAMP) IS NOT NULL
                   THEN CASE WHEN b::TIMESTAMP >= a::TIMESTAMP THEN b ELSE a END
                 WHEN try_cast(b AS TIMESTAMP) IS NOT NULL THEN b
@@ -227,16 +227,16 @@ folded AS (
   FROM chain GROUP BY key
 ),
 merged AS (
-  SELECT k.kind, k.at, k.id, k.link, b.base_at,
-         CASE WHEN b.base_at = k.at THEN f.title ELSE k.title END AS title,
-         CASE WHEN b.base_at = k.at THEN f.summary ELSE k.summary END AS summary,
-         CASE WHEN b.base_at = k.at THEN f.published ELSE k.published END AS published,
-         CASE WHEN b.base_at = k.at THEN f.category ELSE k.category END AS category,
-         CASE WHEN b.base_at = k.at THEN f.language ELSE k.language END AS language,
-         CASE WHEN b.base_at = k.at THEN f.source ELSE k.source END AS source,
-         CASE WHEN b.base_at = k.at THEN f.crawled_time ELSE k.crawled_time END AS crawled_time
+  SELECT k.kind, k.place, k.id, k.link, b.base_place,
+         CASE WHEN b.base_place = k.place THEN f.title ELSE k.title END AS title,
+         CASE WHEN b.base_place = k.place THEN f.summary ELSE k.summary END AS summary,
+         CASE WHEN b.base_place = k.place THEN f.published ELSE k.published END AS published,
+         CASE WHEN b.base_place = k.place THEN f.category ELSE k.category END AS category,
+         CASE WHEN b.base_place = k.place THEN f.language ELSE k.language END AS language,
+         CASE WHEN b.base_place = k.place THEN f.source ELSE k.source END AS source,
+         CASE WHEN b.base_place = k.place THEN f.crawled_time ELSE k.crawled_time END AS crawled_time
   FROM keyed k JOIN bases b USING (key) JOIN folded f USING (key)
-  WHERE k.kind = 0 OR b.base_at = k.at
+  WHERE k.kind = 0 OR b.base_place = k.place
 )"""
 
 FEEDS = r"""

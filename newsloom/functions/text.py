@@ -102,7 +102,7 @@ def preview(c: Column, n: int) -> Column:
 
 def one_decimal(c: Column) -> Column:
     """'%5.1f': half-even on the exact value, right-aligned to five."""
-    return _pad_left(F.format_number(c, "0.0"), 5)
+    return _pad_left(F.call_function("format_number", c, F.lit("0.0")), 5)
 
 
 def _pad_left(c: Column, width: int) -> Column:

@@ -20,7 +20,7 @@ MAX_QUERY_BYTES = 64 << 20
 VECTORS_PER_BLOCK = 50_000
 
 RANK_DIGITS = 9
-RESULT = "query_id long, id long, score double"
+RESULT = "query_id long, id long, score double, k long"
 
 
 def _kernel(metric: str, digits: int):
@@ -135,6 +135,7 @@ def _kernel(metric: str, digits: int):
                     "query_id": pa.array(np.repeat(self.q.ids, lengths)),
                     "id": pa.array(np.concatenate(self.ids) if lengths else np.empty(0, np.int64)),
                     "score": pa.array(np.concatenate(self.scores) if lengths else np.empty(0)),
+                    "k": pa.array(np.repeat(self.q.k, lengths)),
                 }
             )
 
@@ -169,7 +170,8 @@ def nearest(
         found = _scan(vectors, queries, metric)
     else:
         found = _blocks(vectors, queries, metric, max_query_rows)
-    return top_k(found, ["query_id"], by_similarity(metric), max_k)
+    # Every task brings up to k rows of a query; the merged list is cut to its own k again.
+    return top_k(found, ["query_id"], by_similarity(metric), max_k).where("rank <= k").drop("k")
 
 
 def _scan(vectors: DataFrame, queries: DataFrame, metric: str) -> DataFrame:
@@ -203,7 +205,7 @@ def _blocks(vectors: DataFrame, queries: DataFrame, metric: str, max_query_rows:
         if query_block.num_rows == 0:
             import pyarrow as pa
 
-            empty = {"query_id": pa.int64(), "id": pa.int64(), "score": pa.float64()}
+            empty = {"query_id": pa.int64(), "id": pa.int64(), "score": pa.float64(), "k": pa.int64()}
             return pa.table({name: pa.array([], kind) for name, kind in empty.items()})
         best = Best(Queries(query_block))
         for batch in vector_block.to_batches():
