@@ -27,7 +27,8 @@ def is_blank(c: Column) -> Column:
 
 
 def squeeze(c: Column) -> Column:
-    return strip(F.regexp_replace(c, rf"[{SPACE}]+", " "))
+    """White space runs to single blanks, none at the ends."""
+    return F.trim(F.regexp_replace(c, rf"[{SPACE}]+", " "))
 
 
 def _unescape_udf():
@@ -62,12 +63,17 @@ def safe_url(c: Column) -> Column:
     return F.when(F.lower(url).rlike("^https?://"), url).otherwise("")
 
 
+def _drop(c: Column, mark: str, pattern: str) -> Column:
+    """Remove a pattern that every match of starts with mark; most texts do not hold it."""
+    return F.when(F.contains(c, F.lit(mark)), F.regexp_replace(c, pattern, "")).otherwise(c)
+
+
 def embedding_cleanup(c: Column) -> Column:
     """Clean-up before the embedding model: no tags, no URLs, only words and plain punctuation."""
-    text = F.regexp_replace(F.coalesce(c, F.lit("")), "<[^>]+>", "")
-    text = F.regexp_replace(text, rf"http[^{SPACE}]+", "")
-    text = F.regexp_replace(text, rf"[^{WORD}{SPACE},.!?;:()\-]", " ")
-    return squeeze(text)
+    text = _drop(F.coalesce(c, F.lit("")), "<", "<[^>]+>")
+    text = _drop(text, "http", rf"http[^{SPACE}]+")
+    # Everything else, white space included, becomes one blank.
+    return F.trim(F.regexp_replace(text, rf"[^{WORD},.!?;:()\-]+", " "))
 
 
 # The model's input limit and the shortest text worth embedding.

@@ -48,8 +48,9 @@ def build(articles: DataFrame, body: Column | None = None) -> KeywordIndex:
     """Index of articles(id, title, summary), or of one text expression given as body."""
     if body is None:
         body = tx.indexed_text(F.col("title"), F.col("summary"))
-    # Raw texts move once; cleaning and tokenising run after, on evenly spread rows.
-    texts = articles.repartition("id").select(F.col("id").alias("doc_id"), body.alias("body"))
+    # The cleaned texts move once. Cleaning stays before the shuffle: its Python step would
+    # hide from Spark how the rows after it are partitioned.
+    texts = articles.select(F.col("id").alias("doc_id"), body.alias("body")).repartition("doc_id")
     # The outer explode keeps Spark from inferring a not-empty filter on the tokens, which it
     # would push below the shuffle, tokenising every text twice.
     postings = (
@@ -113,9 +114,9 @@ def by_score(score: str = "score", doc: str = "doc_id") -> list[Column]:
 
 def candidates(scored: DataFrame, k: int = MAX_CANDIDATES) -> DataFrame:
     """The k best documents of each query."""
-    return top_k(scored, ["query_id"], by_score(), k, spread="doc_id")
+    return top_k(scored, ["query_id"], by_score(), k, two_rounds=True)
 
 
 def search(index: KeywordIndex, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, doc_id, score, rank) of the k best documents of each query."""
-    return top_k(scores(index, queries), ["query_id"], by_score(), k, spread="doc_id")
+    return top_k(scores(index, queries), ["query_id"], by_score(), k)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+SALTS = 64
+
 
 def top_k(
     df: DataFrame,
@@ -11,21 +13,23 @@ def top_k(
     order: list[Column],
     k: int,
     rank: str = "rank",
-    spread: str | None = None,
-    salts: int = 64,
+    two_rounds: bool = False,
 ) -> DataFrame:
     """The first k rows of each group, ranked 1..k.
 
     Spark limits a ranked window before its shuffle, so a hot group sends at most k rows per
-    map task. With spread, a column that varies inside a group, a first round ranks salted
-    parts of each group and the last round sees at most k * salts rows of any group.
+    map task. For a large k that is still much for one task at the end: with two_rounds the map
+    tasks are first merged in SALTS parts, and the last round sees at most k * SALTS rows of a
+    group. Which part a row falls into does not change the result.
     """
-    if spread is not None:
-        salt = F.pmod(F.xxhash64(spread), F.lit(salts))
-        part = df.withColumn("_salt", salt)
+    if two_rounds:
         window = W.partitionBy(*group, "_salt").orderBy(*order)
-        part = part.withColumn("_part_rank", F.row_number().over(window))
-        df = part.where(F.col("_part_rank") <= k).drop("_part_rank", "_salt")
+        df = (
+            df.withColumn("_salt", F.spark_partition_id() % SALTS)
+            .withColumn("_part_rank", F.row_number().over(window))
+            .where(F.col("_part_rank") <= k)
+            .drop("_part_rank", "_salt")
+        )
     window = W.partitionBy(*group).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
 
