@@ -13,7 +13,7 @@ from newsloom.functions import dates, rules, text as tx, vectors as vec
 from newsloom.operators import compare, dedup, embed, fusion, ivf, keyword, knn, merge, stats
 from newsloom.plans import build, ingest, search
 from newsloom.session import shared_dir
-from newsloom.sources import json_articles, snapshots
+from newsloom.sources import feeds, json_articles, snapshots
 from newsloom.streaming import articles as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -702,7 +702,7 @@ def routing_queries(spark, d):
 
 _LINE = "split_part(text, chr(10), 1)"
 _ROUTES = f"""
-asked AS (
+typed AS (
   SELECT doc_id AS query_id, CASE lang WHEN 'en' THEN 'báo ' || source WHEN 'fr' THEN 'từ ' || source || ' ' || {_LINE}
          WHEN 'es' THEN 'Trang ' || upper(source) || ' ' || {_LINE} ELSE {_LINE} END AS query
   FROM documents
@@ -711,7 +711,7 @@ named AS (
   SELECT *, CASE WHEN {" OR ".join(f"contains(lower(query), '{w}')" for w in SOURCE_WORDS)}
             THEN {sql.first_match("lower(query)", ALIASES, "NULL")} END AS source_name,
          {sql.first_match("lower(query)", [(p, p) for p, _ in ALIASES], "''")} AS alias
-  FROM asked
+  FROM typed
 ),
 stripped AS (
   SELECT *, replace(replace(replace(replace(replace(lower(query), 'báo', ''), 'trang', ''), 'nguồn', ''), 'từ', ''), 'của', '') AS no_fill
@@ -729,20 +729,88 @@ query("route_queries", f"WITH {_ROUTES} SELECT * FROM routed")(
     lambda spark, d: search.route(routing_queries(spark, d), ALIASES, SOURCE_WORDS)
 )
 
+def news_queries(spark, d):
+    """Queries naming one of the news sources, which one by the length of the document."""
+    names = F.array(*[F.lit(alias) for alias, _ in rules.SOURCE_ALIASES])
+    docs = t.table(spark, d, "documents")
+    alias = F.element_at(names, (F.col("n_chars") % len(rules.SOURCE_ALIASES) + 1).cast("int"))
+    text = F.concat(F.lit("Đọc báo "), alias, F.lit(" "), t.first_line(F.col("text")))
+    return docs.select(F.col("doc_id").alias("query_id"), text.alias("query"))
+
+
+_ALIAS_LIST = "[" + ", ".join(f"'{a}'" for a, _ in rules.SOURCE_ALIASES) + "]"
+query(
+    "route_queries_news",
+    f"""WITH typed AS (
+  SELECT doc_id AS query_id, 'Đọc báo ' || {_ALIAS_LIST}[n_chars % 24 + 1] || ' ' || {_LINE} AS query FROM documents
+),
+named AS (SELECT *, {sql.first_match("lower(query)", rules.SOURCE_ALIASES, "NULL")} AS source_name FROM typed),
+rest AS (
+  SELECT *, {sql.strip("replace(replace(replace(replace(replace(replace(lower(query), 'báo', ''), 'trang', ''), 'nguồn', ''), 'từ', ''), 'của', ''), lower(source_name), '')")} AS rest
+  FROM named
+)
+SELECT query_id, query, CASE WHEN length(rest) < 3 THEN 'source' ELSE 'mixed' END AS route, source_name,
+       CASE WHEN length(rest) >= 3 THEN rest END AS content_query FROM rest""",
+)(lambda spark, d: search.route(news_queries(spark, d), strip_alias=False))
+
+
+@query(
+    "routed_search",
+    f"""WITH {_ROUTES}, {sql.hybrid("SELECT query_id, content_query AS query FROM routed WHERE route = 'content' AND query_id IN (SELECT vec_id FROM embeddings)")},
+{sql.ARTICLES},
+content AS (
+  SELECT query_id, 'content' AS route, rank, doc_id, hybrid AS score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(hybrid, 9) DESC, doc_id) AS rank
+    FROM fused JOIN documents USING (doc_id) WHERE hybrid >= 0.35
+  ) WHERE rank <= 10
+),
+mixed_sims AS (
+  SELECT r.query_id, lower(r.source_name) AS wanted, v.vec_id AS doc_id,
+         list_cosine_similarity(e.embedding::DOUBLE[], v.embedding::DOUBLE[]) AS score
+  FROM routed r JOIN embeddings e ON e.vec_id = r.query_id, embeddings v WHERE r.route = 'mixed'
+),
+mixed_near AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS n FROM mixed_sims
+),
+mixed AS (
+  SELECT query_id, 'mixed' AS route, rank, doc_id, score FROM (
+    SELECT m.*, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, doc_id) AS rank
+    FROM mixed_near m JOIN documents d USING (doc_id) WHERE n <= 30 AND contains(lower(d.source), wanted)
+  ) WHERE rank <= 10
+),
+names AS (SELECT DISTINCT source_name FROM routed WHERE route = 'source'),
+listing AS (
+  SELECT *, row_number() OVER (PARTITION BY source_name ORDER BY published DESC, id) AS rank
+  FROM names JOIN articles a ON contains(lower(a.source), lower(source_name))
+)
+SELECT query_id, route, rank, doc_id, round(score, 6) AS score FROM content
+UNION ALL SELECT query_id, route, rank, doc_id, round(score, 6) FROM mixed
+UNION ALL SELECT query_id, route, rank, id, NULL FROM routed JOIN listing USING (source_name) WHERE route = 'source' AND rank <= 10""",
+)
+def _(spark, d):
+    arts = t.articles(spark, d)
+    corpus = search.Corpus(arts, keyword.build(arts), search.exact(t.vectors(spark, d)))
+    given = t.vectors(spark, d).select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vec"))
+    found = search.routed_search(
+        corpus, routing_queries(spark, d), lambda q: q.join(given, "query_id"), 10, ALIASES, SOURCE_WORDS
+    )
+    return found.withColumn("score", F.round("score", 6))
+
+
 # Ingest, storage and streams ---------------------------------------------------------------
 
 
-def ingested(spark, d):
-    items, feeds = t.feed_items(spark, d)
+def ingested(spark, d, **limits):
+    items, feed_list = t.feed_items(spark, d)
     url = F.col("feed")
-    classified = feeds.withColumns(
+    classified = feed_list.withColumns(
         {
             "category": rules.category_of_url(url),
             "language": rules.language_of_url(url),
             "source": rules.source_of_url(url),
         }
     )
-    return ingest.ingest(items, classified, F.lit("2024-03-01T00:00:00"), max_quota=20)
+    return ingest.ingest(items, classified, F.lit("2024-03-01T00:00:00"), max_quota=20, **limits)
 
 
 query(
@@ -762,6 +830,26 @@ SELECT feed_seq, feed, entries, (SELECT count(*) FROM taken t WHERE t.feed_seq =
 )(lambda spark, d: ingested(spark, d).feeds)
 
 
+_OUTCOMES = f"""WITH {sql.FEEDS},
+listed AS (
+  SELECT feed_seq, count(*) AS entries FROM host_rows GROUP BY ALL
+  UNION ALL SELECT feed_seq, count(*) FROM lang_rows GROUP BY ALL
+),
+given AS (SELECT l.feed_seq, count(t.page_id) AS n FROM listed l LEFT JOIN taken t USING (feed_seq) GROUP BY l.feed_seq),
+room AS (SELECT *, 100 - coalesce(sum(n) OVER (ORDER BY feed_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room FROM given)
+"""
+query(
+    "ingest_capped",
+    f"""WITH {sql.FEEDS} SELECT id, link FROM numbered WHERE id < 100""",
+)(lambda spark, d: ingested(spark, d, max_articles=100).articles.select("id", "link"))
+query(
+    "ingest_totals",
+    f"""{_OUTCOMES}
+SELECT count(*) FILTER (WHERE room > 0) AS successful_feeds, 0 AS failed_feeds,
+       sum(least(n, greatest(room, 0)))::BIGINT AS total_articles FROM room""",
+)(lambda spark, d: ingested(spark, d, max_articles=100).totals)
+
+
 def fresh_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/newsloom-{uuid.uuid4().hex}"
 
@@ -835,3 +923,105 @@ def _(spark, d):
     streaming.to_parquet(unique, f"{folder}/items", f"{folder}/state").awaitTermination()
     stored = spark.read.schema("id long, link string, landed_at timestamp").parquet(f"{folder}/items")
     return stored.groupBy("link").agg(F.count("*").alias("n"))
+
+
+@query(
+    "feed_files",
+    """SELECT page_id::VARCHAR AS published, regexp_replace(url, '[?#].*$', '') AS link,
+  trim(regexp_extract(html, '<title>([^<]*)</title>', 1)) AS title, md5(html) AS summary_md5 FROM pages""",
+)
+def _(spark, d):
+    # Pages landed as feed files, then read as feeds.
+    folder = fresh_folder(spark)
+    items = t.table(spark, d, "pages").select(
+        F.regexp_extract("html", "<title>([^<]*)</title>", 1).alias("title"),
+        F.regexp_replace("url", "[?#].*$", "").alias("link"),
+        F.base64("html").alias("description"),
+        F.col("page_id").cast("string").alias("pubDate"),
+    )
+    items.write.format("xml").option("rootTag", "channel").option("rowTag", "item").save(folder)
+    back = feeds.read(spark, folder)
+    return back.select("published", "link", "title", F.md5(F.unbase64("summary")).alias("summary_md5"))
+
+
+@query(
+    "completed_embeddings",
+    f"""SELECT doc_id AS id, 64 AS dim, vec_id IS NOT NULL AS stored
+FROM documents LEFT JOIN embeddings ON vec_id = doc_id WHERE vec_id IS NOT NULL OR length({_clean('text')}) > 10""",
+)
+def _(spark, d):
+    docs = t.documents(spark, d).withColumn("title", F.lit(""))
+    stored = t.vectors(spark, d).join(docs.select("id"), "id", "left_semi")
+    model = embed.fit_hashed(embed.article_texts(docs), 64)
+    done = build.complete_embeddings(docs, stored, lambda texts: embed.hashed(model, texts))
+    known = stored.select("id", F.lit(True).alias("stored"))
+    return done.join(known, "id", "left").select(
+        "id", F.size("embedding").alias("dim"), F.coalesce("stored", F.lit(False)).alias("stored")
+    )
+
+
+_MERGED_WORDS = f"""{sql.RECRAWL},
+ids AS (
+  SELECT *, CASE WHEN kind = 0 THEN id ELSE (SELECT max(doc_id) FROM documents) + row_number() OVER (PARTITION BY kind = 0 ORDER BY place) END AS doc
+  FROM merged
+),
+merged_words AS (
+  SELECT doc, lower(unnest(regexp_extract_all({sql.sanitise('title')} || ' ' || {sql.sanitise('summary')}, '{sql.WORDS}'))) AS token FROM ids
+)"""
+
+
+@query(
+    "merge_and_update_index",
+    f"WITH {_MERGED_WORDS} SELECT token, count(DISTINCT doc) AS df, count(*) AS tf FROM merged_words GROUP BY token",
+)
+def _(spark, d):
+    # A stored collection takes a merge; its word statistics must be those of a fresh build.
+    existing, incoming = t.recrawl(spark, d)
+    articles = existing.drop("seq")
+    model = embed.fit_hashed(embed.article_texts(articles))
+
+    def encode(texts):
+        return embed.hashed(model, texts)
+
+    root = fresh_folder(spark)
+    first = build.tables(articles, build.embedded(articles, encode), N_LISTS, iterations=2)
+    snapshots.save(spark, root, first, "2024-03-01 00:00:00")
+    after, _ = build.merge_and_update(snapshots.load(spark, root), incoming, encode, now())
+    version = snapshots.save(spark, root, after, "2024-03-02 00:00:00")
+    stored = snapshots.load(spark, root, version)
+    tf = stored["postings"].groupBy("token").agg(F.sum("tf").alias("tf"))
+    return stored["term_stats"].join(tf, "token")
+
+
+@query(
+    "stream_merge",
+    f"""WITH {sql.ARTICLES}
+SELECT row_number() OVER (ORDER BY id) - 1 AS id, link, title FROM (
+  SELECT *, row_number() OVER (PARTITION BY link ORDER BY id) AS n FROM articles
+) WHERE n = 1""",
+)
+def _(spark, d):
+    # Documents land as a stream; every batch is merged into the stored articles.
+    root = fresh_folder(spark)
+    schema = t.table(spark, d, "documents").schema
+    landed = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(d)
+    items = landed.select(
+        F.col("doc_id").alias("seq"),
+        t.first_line(F.col("text")).alias("title"),
+        F.concat(F.lit("https://example.org/"), F.md5("text")).alias("link"),
+        F.col("lang").alias("language"),
+        "source",
+    )
+
+    def handle(batch, number):
+        build.merge_batch(batch.sparkSession, root, batch, now(), "2024-03-01 00:00:00")
+
+    streaming.each_batch(items, handle, f"{root}/state").awaitTermination()
+    return snapshots.load(spark, root)["articles"].select("id", "link", "title")
+
+
+query(
+    "recall_by_corpus_size_exhaustive",
+    """SELECT (SELECT count(*) FROM embeddings) * s // 5 AS corpus_size,
+  (SELECT count(*) FROM benchmark JOIN embeddings ON vec_id = item_id) AS n_queries, 1.0::DOUBLE AS recall FROM range(1, 6) r(s)""",
+)(lambda spark, d: compare.recall_by_size(t.vectors(spark, d), t.vector_queries(spark, d), 10, 5, 4, 4))

@@ -64,10 +64,12 @@ postings AS (
 ),
 term_stats AS (SELECT token, count(*) AS df FROM postings GROUP BY token)"""
 
-KEYWORD = f"""{POSTINGS},
+ASKED = "asked AS (SELECT item_id AS query_id, text AS query FROM benchmark)"
+
+_KEYWORD = f"""{POSTINGS},
 terms AS (
   SELECT query_id, token, count(*) AS qcnt
-  FROM (SELECT item_id AS query_id, lower(unnest(regexp_extract_all(text, '{WORDS}'))) AS token FROM benchmark)
+  FROM (SELECT query_id, lower(unnest(regexp_extract_all(query, '{WORDS}'))) AS token FROM asked)
   GROUP BY query_id, token
 ),
 corpus AS (SELECT count(*) AS n, avg(dl) AS avg_dl FROM doc_stats),
@@ -85,9 +87,9 @@ kw AS (
   ) WHERE rank <= 2000
 )"""
 
-VECTORS = """
+_VECTORS = """
 q AS (
-  SELECT item_id AS query_id, embedding::DOUBLE[] AS qv FROM benchmark JOIN embeddings ON vec_id = item_id
+  SELECT query_id, embedding::DOUBLE[] AS qv FROM asked JOIN embeddings ON vec_id = query_id
 ),
 sims AS (
   SELECT query_id, vec_id AS id, list_cosine_similarity(qv, embedding::DOUBLE[]) AS cosine
@@ -97,7 +99,7 @@ near AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(cosine, 9) DESC, id) AS rank FROM sims
 )"""
 
-HYBRID = f"""{KEYWORD}, {VECTORS},
+_HYBRID = f"""{_KEYWORD}, {_VECTORS},
 sem AS (
   SELECT query_id, id AS doc_id, 1 / (1 + (1 - cosine)) AS score FROM near WHERE rank <= 60
 ),
@@ -117,6 +119,16 @@ fused AS (
 )"""
 
 
+KEYWORD = f"{ASKED}, {_KEYWORD}"
+VECTORS = f"{ASKED}, {_VECTORS}"
+HYBRID = f"{ASKED}, {_HYBRID}"
+
+
+def hybrid(asked: str) -> str:
+    """The hybrid search for other queries than the benchmark passages."""
+    return f"asked AS ({asked}), {_HYBRID}"
+
+
 def results(candidates: str, newest: bool) -> str:
     """Search results from candidates(query_id, doc_id, score), in the display form."""
     first = "ts DESC NULLS LAST," if newest else ""
