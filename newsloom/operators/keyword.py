@@ -101,8 +101,10 @@ def scores(index: KeywordIndex, queries: DataFrame, k1: float = K1, b: float = B
     relative_length = F.col("dl") / (F.col("avg_dl") + EPSILON)
     denominator = F.col("tf") + k1 * (1 - b + b * relative_length)
     saturation = F.col("tf") * (k1 + 1) / (denominator + EPSILON)
+    # Words nobody asks for are dropped first; Spark moves this filter below the counting.
+    asked_for = index.postings.join(words, "token", "left_semi")
     return (
-        index.postings.join(hint(weighted), "token")
+        asked_for.join(hint(weighted), "token")
         .groupBy("query_id", "doc_id")
         .agg(F.sum(F.col("weight") * saturation).alias("score"))
     )
