@@ -18,11 +18,12 @@ def top_k(
     """The first k rows of each group, ranked 1..k.
 
     Spark limits a ranked window before its shuffle, so a hot group sends at most k rows per
-    map task. For a large k that is still much for one task at the end: with two_rounds the map
-    tasks are first merged in SALTS parts, and the last round sees at most k * SALTS rows of a
-    group. Which part a row falls into does not change the result.
+    map task. For a large k that is still much for one task at the end: with two_rounds, where
+    there are more than SALTS map tasks, these are first merged in SALTS parts, and the last
+    round sees at most k * SALTS rows of a group. Which part a row falls into does not change
+    the result.
     """
-    if two_rounds:
+    if two_rounds and int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) > SALTS:
         window = W.partitionBy(*group, "_salt").orderBy(*order)
         df = (
             df.withColumn("_salt", F.spark_partition_id() % SALTS)

@@ -33,3 +33,15 @@ def broadcast_if_small(df: DataFrame, **bounds) -> DataFrame:
     """df with a broadcast hint if it fits, else as it is: Spark then shuffles the join and
     adaptive execution splits skewed partitions."""
     return F.broadcast(df) if fits(df, **bounds) else df
+
+
+MAX_LOCAL_ROWS = 10_000
+MAX_LOCAL_BYTES = 4 << 20
+
+
+def held(df: DataFrame) -> DataFrame:
+    """A small batch as a table of the plan itself, so that its many uses do not compute it
+    again; a larger one as it is."""
+    if not fits(df, MAX_LOCAL_ROWS, MAX_LOCAL_BYTES):
+        return df
+    return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)

@@ -21,7 +21,8 @@ def frame(spark, rows, schema):
 # Ranking and sizes
 
 
-def test_top_k_and_positions_with_a_hot_group(spark):
+def test_top_k_and_positions_with_a_hot_group(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "SALTS", 3)
     rng = random.Random(1)
     rows = [(i, 0 if rng.random() < 0.4 else rng.randint(1, 40), rng.randint(0, 50)) for i in range(3000)]
     df = frame(spark, rows, "id long, g long, v long").repartition(6)
@@ -46,6 +47,14 @@ def test_fits(spark):
     assert sizing.fits(df.where("false"), 0, 0)
 
 
+def test_held_keeps_rows_and_types(spark):
+    df = frame(spark, [(1, "a", [1.0, 2.0]), (2, None, None)], "id long, s string, v array<float>")
+    small = sizing.held(df)
+    assert small.schema == df.schema and small.collect() == df.collect()
+    wide = df.select("*", F.repeat(F.lit("x"), 5_000_000).alias("t"))
+    assert sizing.held(wide) is wide
+
+
 # Keyword search
 
 

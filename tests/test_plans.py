@@ -31,7 +31,8 @@ def test_tokens_are_not_extracted_below_the_shuffle(spark):
     assert "regexp_extract_all" not in below
 
 
-def test_top_k_is_limited_before_its_shuffle(spark):
+def test_top_k_is_limited_before_its_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "SALTS", 2)
     df = spark.range(100_000).selectExpr("id", "id % 3 as g", "rand(1) as v").repartition(4)
     for two_rounds in (False, True):
         text = plan(ranking.top_k(df, ["g"], [F.col("v").desc()], 2000, two_rounds=two_rounds))
