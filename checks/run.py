@@ -21,13 +21,17 @@ def connect(sf_dir: str):
 
 
 def plain(value):
+    """Values as they are, but for the signs of zero and the several forms of no number. Types
+    count: a decimal is no double and a flag no integer."""
     if value is None or (isinstance(value, float) and math.isnan(value)):
         return None
+    if isinstance(value, float):
+        return ("float", value + 0.0)
     if isinstance(value, bool):
-        return int(value)
-    if isinstance(value, (int, float)) or type(value).__name__ == "Decimal":
-        return round(float(value), 6) + 0.0
-    return str(value)
+        return ("bool", value)
+    if isinstance(value, int):
+        return ("int", value)
+    return str(value) if isinstance(value, str) else (type(value).__name__, str(value))
 
 
 def rows(names, tuples) -> Counter:
