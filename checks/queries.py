@@ -244,6 +244,20 @@ def _(spark, d):
     return shown.withColumn("shown", place).drop("rank").withColumn("cosine", F.round("cosine", 6))
 
 
+@query(
+    "quick_search_display",
+    f"""WITH {sql.VECTORS}, {sql.ARTICLES}, shown AS (
+  SELECT query_id, rank, id, title, round(cosine, 3) AS similarity, count(*) OVER (PARTITION BY query_id) AS n
+  FROM near JOIN articles USING (id) WHERE rank <= 20
+)
+SELECT query_id, rank, id, title, similarity, greatest(n - 5, 0) AS more FROM shown WHERE rank <= 5""",
+)
+def _(spark, d):
+    corpus = search.Corpus(t.articles(spark, d), neighbours=search.exact(t.vectors(spark, d)))
+    shown = search.first_shown(search.semantic_topk(corpus, t.vector_queries(spark, d), 20), 5)
+    return shown.select("query_id", "rank", "id", "title", F.round("cosine", 3).alias("similarity"), "more")
+
+
 query(
     "l2_knn_batch",
     """WITH q AS (
@@ -379,6 +393,27 @@ def _(spark, d):
     )
 
 
+@query(
+    "model_embeddings",
+    f"""WITH clean AS (SELECT doc_id AS id, substr({sql.embedding_cleanup('text')}, 1, 2000) AS text FROM documents),
+raw AS (
+  SELECT id, length(text)::DOUBLE AS a, (length(text) - length(replace(text, 'e', '')))::DOUBLE AS b,
+         (length(text) - length(replace(text, ' ', '')))::DOUBLE AS c FROM clean WHERE length(text) > 10
+)
+SELECT id, round(a / sqrt(a * a + b * b + c * c), 4) AS x, round(b / sqrt(a * a + b * b + c * c), 4) AS y,
+       round(c / sqrt(a * a + b * b + c * c), 4) AS z FROM raw""",
+)
+def _(spark, d):
+    # A stand-in model with three features per text: length, letters e, blanks.
+    def load():
+        return lambda texts: [[len(x), x.count("e"), x.count(" ")] for x in texts]
+
+    docs = t.documents(spark, d).withColumn("title", F.lit(""))
+    out = embed.with_model(embed.article_texts(docs), load)
+    part = lambda i: F.round(F.col("embedding")[i].cast("double"), 4)
+    return out.select("id", part(0).alias("x"), part(1).alias("y"), part(2).alias("z"))
+
+
 @query("hashed_embeddings")
 def _(spark, d):
     texts = embed.article_texts(t.documents(spark, d))
@@ -480,6 +515,12 @@ WHERE dimension <> 'source' OR rank <= 15""",
 
 # Merge ------------------------------------------------------------------------------------
 
+query(
+    "searchable_articles",
+    f"""WITH {sql.ARTICLES}
+SELECT id, link FROM (SELECT *, row_number() OVER (PARTITION BY link ORDER BY id) AS n FROM articles)
+WHERE n = 1 AND length(concat_ws('. ', nullif({sql.embedding_cleanup('title')}, ''), nullif({sql.embedding_cleanup('summary')}, ''))) > 10""",
+)(lambda spark, d: build.searchable(t.articles(spark, d)).select("id", "link"))
 query(
     "dedup_first_by_link",
     f"""WITH {sql.ARTICLES}
@@ -584,21 +625,14 @@ def _(spark, d):
     )
 
 
-def _clean(c: str) -> str:
-    c = f"regexp_replace({c}, '<[^>]+>', '', 'g')"
-    c = f"regexp_replace({c}, 'http[^{sql.SPACE}]+', '', 'g')"
-    c = rf"regexp_replace({c}, '[^\p{{L}}\p{{N}}_{sql.SPACE},.!?;:()\-]', ' ', 'g')"
-    return sql.squeeze(c)
-
-
 @query(
     "embed_text_prepared",
     f"""SELECT * FROM (
   SELECT page_id AS id, substr(CASE WHEN t <> '' AND s <> '' THEN t || '. ' || s ELSE t || s END, 1, 2000) AS text
-  FROM (SELECT page_id, {_clean("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS t, {_clean('html')} AS s FROM pages)
+  FROM (SELECT page_id, {sql.embedding_cleanup("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS t, {sql.embedding_cleanup('html')} AS s FROM pages)
   UNION ALL
   SELECT 1000000000 + doc_id, substr(CASE WHEN s <> '' THEN s ELSE '' END, 1, 2000)
-  FROM (SELECT doc_id, {_clean('text')} AS s FROM documents)
+  FROM (SELECT doc_id, {sql.embedding_cleanup('text')} AS s FROM documents)
 ) WHERE length(text) > 10""",
 )
 def _(spark, d):
@@ -615,7 +649,7 @@ def _(spark, d):
 
 query(
     "query_texts_prepared",
-    f"SELECT item_id AS query_id, {_clean('text')} AS text FROM benchmark",
+    f"SELECT item_id AS query_id, {sql.embedding_cleanup('text')} AS text FROM benchmark",
 )(lambda spark, d: embed.query_texts(t.queries(spark, d)))
 query(
     "tokens_per_page",
@@ -947,7 +981,7 @@ def _(spark, d):
 @query(
     "completed_embeddings",
     f"""SELECT doc_id AS id, 64 AS dim, vec_id IS NOT NULL AS stored
-FROM documents LEFT JOIN embeddings ON vec_id = doc_id WHERE vec_id IS NOT NULL OR length({_clean('text')}) > 10""",
+FROM documents LEFT JOIN embeddings ON vec_id = doc_id WHERE vec_id IS NOT NULL OR length({sql.embedding_cleanup('text')}) > 10""",
 )
 def _(spark, d):
     docs = t.documents(spark, d).withColumn("title", F.lit(""))

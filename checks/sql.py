@@ -30,6 +30,13 @@ def sanitise(c: str) -> str:
     return squeeze(f"regexp_replace({text}, '<[^>]+>', ' ', 'g')")
 
 
+def embedding_cleanup(c: str) -> str:
+    c = f"regexp_replace({c}, '<[^>]+>', '', 'g')"
+    c = f"regexp_replace({c}, 'http[^{SPACE}]+', '', 'g')"
+    c = rf"regexp_replace({c}, '[^\p{{L}}\p{{N}}_{SPACE},.!?;:()\-]', ' ', 'g')"
+    return squeeze(c)
+
+
 def blank(c: str) -> str:
     return f"NOT coalesce(regexp_matches({c}, '[^{SPACE}]'), false)"
 
