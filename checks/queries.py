@@ -894,7 +894,7 @@ def fresh_folder(spark: SparkSession) -> str:
 SELECT 'articles' AS name, count(*) AS n FROM documents UNION ALL SELECT 'embeddings', count(*) FROM embeddings
 UNION ALL SELECT 'lists', count(*) FROM embeddings UNION ALL SELECT 'centroids', {N_LISTS}
 UNION ALL SELECT 'postings', count(*) FROM postings UNION ALL SELECT 'doc_stats', count(*) FROM doc_stats
-UNION ALL SELECT 'term_stats', count(*) FROM term_stats""",
+UNION ALL SELECT 'term_stats', count(*) FROM term_stats UNION ALL SELECT 'corpus_stats', 1""",
 )
 def _(spark, d):
     root = fresh_folder(spark)

@@ -23,6 +23,9 @@ REPEAT_BONUS = 0.1
 EPSILON = 1e-9
 MAX_CANDIDATES = 2000
 
+# Batches with up to so many different words filter by a list in the plan.
+SHORT_WORD_LIST = 200
+
 # Scores are ranked at this precision, so that the order in which partial sums arrive
 # cannot swap equal documents; ties go to the lower id.
 RANK_DIGITS = 9
@@ -30,18 +33,26 @@ RANK_DIGITS = 9
 
 @dataclass
 class KeywordIndex:
-    """postings(token, doc_id, tf, dl), doc_stats(doc_id, dl), term_stats(token, df)."""
+    """postings(token, doc_id, tf, dl), doc_stats(doc_id, dl), term_stats(token, df), and where
+    it is stored, the one row of corpus_stats(n_docs, avg_dl)."""
 
     postings: DataFrame
     doc_stats: DataFrame
     term_stats: DataFrame
+    stored_corpus_stats: DataFrame | None = None
 
     def corpus_stats(self) -> DataFrame:
-        """One row: documents, counting those without tokens, and their mean length."""
-        return self.doc_stats.agg(
-            F.count("*").alias("n_docs"),
-            F.coalesce(F.avg("dl"), F.lit(0.0)).alias("avg_dl"),
-        )
+        if self.stored_corpus_stats is not None:
+            return self.stored_corpus_stats
+        return corpus_stats(self.doc_stats)
+
+
+def corpus_stats(doc_stats: DataFrame) -> DataFrame:
+    """One row: documents, counting those without tokens, and their mean length."""
+    return doc_stats.agg(
+        F.count("*").alias("n_docs"),
+        F.coalesce(F.avg("dl"), F.lit(0.0)).alias("avg_dl"),
+    )
 
 
 def build(articles: DataFrame, body: Column | None = None) -> KeywordIndex:
@@ -87,9 +98,9 @@ def scores(index: KeywordIndex, queries: DataFrame, k1: float = K1, b: float = B
     terms = query_terms(queries)
     # The weighted terms have the rows of the terms, so one check covers both.
     hint = F.broadcast if fits(terms) else (lambda side: side)
-    words = hint(terms.select("token").distinct())
+    asked_for = _asked_for(hint(terms.select("token").distinct()))
     # Document frequencies of the words asked for, nothing else.
-    df = index.term_stats.join(words, "token", "left_semi")
+    df = asked_for(index.term_stats)
     corpus = index.corpus_stats().select(F.struct("n_docs", "avg_dl").alias("c")).scalar()
     idf = F.log((corpus.getField("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5) + 1.0)
     weighted = terms.join(df, "token").select(
@@ -101,15 +112,24 @@ def scores(index: KeywordIndex, queries: DataFrame, k1: float = K1, b: float = B
     relative_length = F.col("dl") / (F.col("avg_dl") + EPSILON)
     denominator = F.col("tf") + k1 * (1 - b + b * relative_length)
     saturation = F.col("tf") * (k1 + 1) / (denominator + EPSILON)
-    # Words nobody asks for are dropped first; Spark moves this filter below the counting.
-    asked_for = index.postings.join(words, "token", "left_semi")
     return (
-        asked_for.join(hint(weighted), "token")
+        asked_for(index.postings)
+        .join(hint(weighted), "token")
         .groupBy("query_id", "doc_id")
         .agg(F.sum(F.col("weight") * saturation).alias("score"))
     )
 
 
+def _asked_for(words: DataFrame):
+    """Filter on the words of the batch. Spark moves it below the counting of an index built on
+    the fly. A short list of words is put into the plan: a stored index, sorted by token, then
+    skips the parts of its files that hold none of them."""
+    first = [row.token for row in words.limit(SHORT_WORD_LIST + 1).collect()]
+    if len(first) <= SHORT_WORD_LIST:
+        return lambda table: table.where(F.col("token").isin(first))
+    return lambda table: table.join(words, "token", "left_semi")
+
+
 def by_score(score: str = "score", doc: str = "doc_id") -> list[Column]:
     return [F.round(score, RANK_DIGITS).desc(), F.col(doc).asc()]
 

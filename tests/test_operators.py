@@ -86,10 +86,11 @@ def corpus(spark, n=120, seed=5):
 QUERIES = [(1, "w1 w2 the"), (2, "w3 w3 w3 w4"), (3, "unknownword"), (4, "a w"), (5, "  "), (6, "The W7, w7.")]
 
 
-@pytest.mark.parametrize("bound", [10**6, 0])
-def test_keyword_scores(spark, monkeypatch, bound):
-    """Also without a broadcast: with no rows allowed, every join is shuffled."""
+@pytest.mark.parametrize("bound, listed", [(10**6, 200), (10**6, 2), (0, 2)])
+def test_keyword_scores(spark, monkeypatch, bound, listed):
+    """Also with words joined instead of listed, and with no broadcast at all."""
     monkeypatch.setattr(keyword, "fits", lambda df: sizing.fits(df, bound))
+    monkeypatch.setattr(keyword, "SHORT_WORD_LIST", listed)
     docs, df = corpus(spark)
     queries = frame(spark, QUERIES, "query_id long, query string")
     got = {}

@@ -59,3 +59,26 @@ def test_no_cross_joins(spark):
     for name in ("hybrid_search", "merge_upsert", "classify_urls", "route_queries", "source_listing", "ingest_quota"):
         text = plan(QUERIES[name](spark, SMALL))
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
+
+
+def test_words_of_a_short_batch_reach_the_stored_postings(spark, tmp_path):
+    index = keyword.build(t.documents(spark, SMALL))
+    path = str(tmp_path / "postings")
+    index.postings.sortWithinPartitions("token").write.parquet(path)
+    stored = spark.read.parquet(path)
+    index = keyword.KeywordIndex(stored, index.doc_stats, keyword.term_stats(stored))
+    queries = spark.createDataFrame([(1, "the and")], "query_id long, query string")
+    text = plan(keyword.scores(index, queries))
+    assert "In(token, [and,the])" in text
+
+
+def test_untouched_articles_are_passed_through(spark):
+    """Existing rows without an incoming row are in a branch of scans and broadcast joins."""
+    from newsloom.operators import merge
+
+    existing, incoming = t.recrawl(spark, SMALL)
+    old = existing.select("id", "title", "summary", "link", "published", "category", "language", "source", "crawled_time", "seq")
+    old = spark.createDataFrame(old.toArrow(), old.schema)
+    merged = merge.upsert(old, incoming, F.lit("2024-01-01").cast("timestamp")).articles
+    rest = plan(merged).rsplit("LeftAnti", 1)
+    assert len(rest) == 2 and "Exchange hashpartitioning" not in rest[1].split("BroadcastExchange")[0]
