@@ -7,8 +7,8 @@ from newsloom.functions import rules
 WORDS = r"([\p{L}\p{N}_]{2,}|\x{130})"
 SPACE = r"\t-\r\x1c-\x1f\x{85}\p{Z}"
 
-# Entities that occur in the pages.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "''", "&copy;": "©", "&middot;": "·", "&amp;": "&"}
+# Entities that occur in the pages; cut-off ones lack the semicolon.
+ENTITIES = {"&lt;?": "<", "&gt;?": ">", "&quot;?": '"', "&#39;?": "''", "&copy;?": "©", "&middot;?": "·", "&amp;?": "&"}
 
 
 def strip(c: str) -> str:
@@ -21,7 +21,7 @@ def squeeze(c: str) -> str:
 
 def unescape(c: str) -> str:
     for entity, character in ENTITIES.items():
-        c = f"replace({c}, '{entity}', '{character}')"
+        c = f"regexp_replace({c}, '{entity}', '{character}', 'g')"
     return c
 
 
