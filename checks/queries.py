@@ -24,6 +24,7 @@ def now():
 
 
 N_LISTS = 16
+N_PROBES = 8
 SOURCE_NAMES = ["src1", "SRC7", "c12"]
 # Names a query may use for the test sources, and the words that make it a source query.
 ALIASES = [(f"src{i}", f"Src{i}") for i in range(19, -1, -1)]
@@ -353,7 +354,7 @@ query(
 @query("ivf_search")
 def _(spark, d):
     wanted = t.vector_queries(spark, d).withColumn("k", F.lit(10))
-    return ivf.search(index(spark, d), wanted, 10, 4).select("query_id", "id", "rank", rounded("score"))
+    return ivf.search(index(spark, d), wanted, 10, N_PROBES).select("query_id", "id", "rank", rounded("score"))
 
 
 @query("recall_vs_nprobe")
@@ -368,7 +369,9 @@ def _(spark, d):
 
 
 query("recall_by_corpus_size")(
-    lambda spark, d: compare.recall_by_size(t.vectors(spark, d), t.vector_queries(spark, d), 10, 5, N_LISTS, 4)
+    lambda spark, d: compare.recall_by_size(
+        t.vectors(spark, d), t.vector_queries(spark, d), 10, 5, N_LISTS, N_PROBES
+    )
 )
 query(
     "index_info",
