@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsloom.llm import mixing, near_dedup, quality
+from newsloom.llm import decontaminate, mixing, near_dedup, quality, token_files
 from newsloom.llm.tables import new_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,15 +23,27 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return near_dedup.deduplicated(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    return decontaminate.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.repeated(mixing.mixed(docs, weights=[3, 1, 2]))
 
 
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Writes the token files and returns, read back from them, each document's place and check sum."""
+    return token_files.read(token_files.write(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
     ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
     ("mix_sources", mix_sources),
+    ("token_ids", token_ids),
 ]
 
 #: Encoding with a tokenizer can't be written in SQL; tests/llm holds run() against a plain version.

@@ -213,7 +213,7 @@ def apart(members: DataFrame, sketches: DataFrame) -> DataFrame:
     """Plausible pairs (a, b) of documents that share a bucket but no component. Members
     (bucket, id, component) meet block by block; only plausible pairs leave a task."""
 
-    def run(table: pa.Table) -> pa.Table:
+    def run(table):
         ids, component, side, n = (table.column(c).to_numpy() for c in ("id", "component", "side", "n"))
         cells = _as_rows(table.column("sketch").combine_chunks(), np.uint16, REGISTERS)
         left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
