@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsloom.llm.tables import column, free_name, let
+from newsloom.llm.tables import column, free_name, let, stored
 
 SPACE = r"[\x20\x09-\x0D]+"
 NOT_SPACE = r"[^\x20\x09-\x0D]"
@@ -109,11 +109,10 @@ def measures_of(text: Column) -> Callable[[str], Column]:
 
 
 def ordered(docs: DataFrame, rules=RULES, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """The rules by rejections per second, most first, as measured on sample_rows rows. A rule that
+    """The rules by rejections per second, most first, as measured on about sample_rows rows. A rule that
     rejects none of them comes last, cheaper ones first."""
-    sample = docs.select(F.coalesce(column(text_col), F.lit("")).alias("text")).limit(sample_rows)
-    sample = docs.sparkSession.createDataFrame(sample.toArrow(), "text string")
-    sample.count()
+    texts, n = docs.select(F.coalesce(column(text_col), F.lit("")).alias("text")), docs.count()
+    sample = stored(texts.sample(min(1.0, sample_rows / max(n, 1)), seed=5), "sample")
     measures, found = measures_of(F.col("text")), []
     for rule in rules:
         start = time.perf_counter()
