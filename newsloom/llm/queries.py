@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsloom.llm import chat_format, decontaminate, mixing, near_dedup, pii, quality, secrets, token_files
+from newsloom.llm import chat_format, decontaminate, mixing, near_dedup, pii, quality, repeats, secrets, token_files
 from newsloom.llm.sql import SQL  # noqa: F401  read by the entry module
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -53,6 +53,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scanned(docs, pii.trained(docs)).drop("text")
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(_table(spark, sf_dir, "documents")).drop("text_bytes")
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(token_files.write(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
 
@@ -67,6 +71,7 @@ QUERIES = {
         op6_quality,
         op7_mixing,
         op8_pii,
+        op9_repeats,
         op10_token_files,
     )
 }
