@@ -30,7 +30,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
-    return mixing.repeated(mixing.mixed(docs, weights=[3, 1, 2]))
+    return mixing.repeated(docs, weights=[3, 1, 2])
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

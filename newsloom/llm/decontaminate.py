@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from newsloom.llm import textbytes as tb
-from newsloom.llm.tables import column, stored
+from newsloom.llm.tables import column, free_name, hinted, stored
 
 WINDOW = 10
 SLOP = 20  # words around the rarest term in which all others make a proximity match
@@ -302,8 +302,7 @@ def _vocabulary(cells: DataFrame) -> np.ndarray | None:
 def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs without a hit, with all their columns. Rows are told apart by their id; a row
     without an id stays."""
-    from newsloom.llm.tables import hinted
-
+    gone = free_name(docs, "_gone")
     bad = contamination(docs, items, id_col=id_col, text_col=text_col).filter("contaminated and doc_id is not null")
-    bad = stored(bad.select(F.col("doc_id").alias("_gone")).distinct(), "contaminated")
-    return docs.join(hinted(bad), column(id_col).cast("long") == F.col("_gone"), "left_anti")
+    bad = stored(bad.select(F.col("doc_id").alias(gone)).distinct(), "contaminated")
+    return docs.join(hinted(bad), column(id_col).cast("long") == F.col(gone), "left_anti")

@@ -62,7 +62,7 @@ def _order(id_col: Column, seed: int) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit(""))).cast("binary"))
 
 
-def mixed(
+def planned(
     docs: DataFrame,
     weights: list[int],
     share: tuple[int, int] = (3, 2),
@@ -71,24 +71,27 @@ def mixed(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
-) -> DataFrame:
-    """docs with the columns size (words), source_size, target (of its source) and copies.
+) -> tuple[DataFrame, str]:
+    """docs with one more column, and its name: a struct of size (words), source_size, target (of the
+    source) and copies.
 
     share: words of the mix as a fraction of all words. A null text has size 0, a null source is a
     source of its own, at the last place. Documents of a source are taken copies = whole passes
     times, and once more in the order of md5(seed:id) while half of the document still lies below
     the rest of the target; rows that share an id are taken alike. Nothing is taken twice more than
-    another, and never more than max_epochs times. An empty table gives an empty table. Columns of
-    docs with the new names are replaced.
+    another, and never more than max_epochs times. An empty table gives an empty table.
     """
-    docs = docs.drop("size", "source_size", "target", "copies")
-    key, bin_, size, source = (free_name(docs, c) for c in ("_order", "_bin", "size", "_source"))
-    sized = docs.withColumns(
-        {size: n_words(column(text_col)), key: _order(column(id_col), seed), source: column(source_col)}
-    ).withColumn(bin_, F.substring(key, 1, BIN_DIGITS))
-    slim = sized.select(F.col(source).alias("source"), F.col(size).alias("n"), F.col(key).alias("k"), F.col(bin_).alias("b"))
-    slim = stored(slim, "sizes")
-
+    mix, size, key, rule = (free_name(docs, c) for c in ("_mix", "_size", "_order", "_rule"))
+    sized = docs.withColumns({size: n_words(column(text_col)), key: _order(column(id_col), seed)})
+    slim = stored(
+        sized.select(
+            column(source_col).alias("source"),
+            F.col(size).alias("n"),
+            F.col(key).alias("k"),
+            F.substring(key, 1, BIN_DIGITS).alias("b"),
+        ),
+        "sizes",
+    )
     bins = slim.groupBy("source", "b").agg(F.sum("n").alias("n"))
     sizes = bins.groupBy("source").agg(F.sum("n").alias("size"))
     plan = targets(cyclic_weights(sizes, weights), F.col("total") * share[0] / share[1], max_epochs)
@@ -112,31 +115,47 @@ def mixed(
     )
     last = inside.filter(2 * F.col("upto") - F.col("n") <= 2 * F.col("rest")).groupBy("source").agg(F.max("k").alias("last"))
     ends = edges.groupBy("source").agg(F.min("b").alias("b"))
-    rule = (
+    rules = (
         plan.alias("p")
         .join(ends.alias("e"), F.expr("p.source <=> e.source"), "left")
         .join(last.alias("l"), F.expr("p.source <=> l.source"), "left")
         .select(
-            F.col("p.source").alias("_s"),
-            F.col("p.size").alias("source_size"),
-            F.col("p.target").alias("target"),
-            F.col("p.whole").alias("_whole"),
-            F.col("p.rest").alias("_rest"),
-            # All documents up to this place in the order are taken once more.
-            F.coalesce("l.last", "e.b", F.lit("g")).alias("_last"),
+            F.struct(
+                F.col("p.source").alias("source"),
+                F.col("p.size").alias("size"),
+                F.col("p.target").alias("target"),
+                F.col("p.whole").alias("whole"),
+                F.col("p.rest").alias("rest"),
+                # All documents up to this place in the order are taken once more.
+                F.coalesce("l.last", "e.b", F.lit("")).alias("last"),
+            ).alias(rule)
         )
     )
-    once = (F.col("_rest") > 0) & (F.col(key) <= F.col("_last"))
-    found = sized.join(hinted(rule, 64), F.col(source).eqNullSafe(F.col("_s"))).withColumn(
-        "copies", (F.col("_whole") + once.cast("long")).cast("long")
+    of = F.col(rule)
+    once = (of["rest"] > 0) & (F.col(key) <= of["last"])
+    found = sized.join(hinted(rules, 64), column(source_col).eqNullSafe(of["source"]))
+    taken = F.struct(
+        F.col(size).alias("size"),
+        of["size"].alias("source_size"),
+        of["target"].alias("target"),
+        (of["whole"] + once.cast("long")).cast("long").alias("copies"),
     )
-    if size != "size":
-        found = found.withColumnRenamed(size, "size")
-    return found.select(*[column(c) for c in docs.columns], "size", "source_size", "target", "copies")
+    return found.withColumn(mix, taken).drop(size, key, rule), mix
+
+
+def mixed(docs: DataFrame, weights: list[int], **how) -> DataFrame:
+    """docs with the columns size, source_size, target and copies; see planned(). Columns of docs with
+    these names are replaced."""
+    found, mix = planned(docs, weights, **how)
+    names = ["size", "source_size", "target", "copies"]
+    kept = [column(c) for c in docs.columns if c.lower() not in names]
+    return found.select(*kept, *[F.col(mix)[n].alias(n) for n in names])
 
 
-def repeated(found: DataFrame) -> DataFrame:
-    """Each row of mixed() as often as it has copies, without the columns mixed() added."""
-    times = free_name(found, "_time")
-    rows = found.filter("copies > 0").withColumn(times, F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
-    return rows.drop(times, "size", "source_size", "target", "copies")
+def repeated(docs: DataFrame, weights: list[int], **how) -> DataFrame:
+    """The mix itself: the rows of docs, each as often as it has copies."""
+    found, mix = planned(docs, weights, **how)
+    time = free_name(found, "_time")
+    rows = found.filter(F.col(mix)["copies"] > 0)
+    rows = rows.withColumn(time, F.explode(F.sequence(F.lit(1), F.col(mix)["copies"].cast("int"))))
+    return rows.select(*[column(c) for c in docs.columns])
