@@ -44,7 +44,7 @@ def shingle_sets(texts: pa.Array):
         rolled = hashes.copy()
         for k in range(1, SHINGLE):
             rolled = (rolled ^ (rolled >> np.uint64(29))) * _SALT
-            rolled[: n - k] += hashes[k:]
+            rolled[: max(n - k, 0)] += hashes[k:]
         rolled = tb.mix(rolled)
         for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
             if b - a >= SHINGLE:

@@ -16,6 +16,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsloom.llm import spans
@@ -41,6 +42,7 @@ CONTEXT = ["phone", "tel", "call", "fax", "mobile", "mail", "contact", "card", "
 
 SAMPLE_ROWS = 20_000
 ROUNDS = 60
+RIDGE = 1.0
 
 
 def digits(value: Column) -> Column:
@@ -134,16 +136,17 @@ def fit(patterns: dict[str, int]) -> Model:
             for v, (a, b) in zip(votes, reliability):
                 odds += math.log(a / b) if v else math.log((1 - a) / (1 - b))
             posterior[i] = 1 / (1 + math.exp(-max(-30.0, min(30.0, odds))))
-    weights = [-1.0] + [0.0] * (n + len(SHAPE))
-    all_spans = sum(c for _, _, c in rows) or 1
-    for _ in range(10 * ROUNDS if rows else 0):
-        step = [0.002 * w for w in weights]
-        for q, (_, x, c) in zip(posterior, rows):
-            p = 1 / (1 + math.exp(-max(-30.0, min(30.0, sum(w * v for w, v in zip(weights, x))))))
-            for k, v in enumerate(x):
-                step[k] += (p - q) * v * c / all_spans
-        weights = [w - s for w, s in zip(weights, step)]
-    return Model(tuple(reliability), prior, tuple(weights))
+    weights = np.zeros(1 + n + len(SHAPE))
+    if rows:
+        x, c = np.array([r[1] for r in rows]), np.array([r[2] for r in rows], float)
+        for _ in range(30):  # Newton's method with a small ridge
+            p = 1 / (1 + np.exp(-np.clip(x @ weights, -30, 30)))
+            slope = x.T @ (c * (np.array(posterior) - p)) - RIDGE * weights
+            curve = (x * (c * p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(len(weights))
+            weights = weights + np.linalg.solve(curve, slope)
+    else:
+        weights[0] = -1.0
+    return Model(tuple(reliability), prior, tuple(map(float, weights)))
 
 
 def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Model:

@@ -26,11 +26,13 @@ KINDS = ["assign", "access", "hex", "random"]
 
 #: Strings that the models judge: 20 characters or more with a digit among them.
 CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}+"
-IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_][A-Za-z0-9_]{5,}+"
+IDENTIFIER = r"(?<![A-Za-z0-9+/_=-])[A-Za-z_][A-Za-z0-9_]{2,}+"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 #: Documents of the sample, and the least log-likelihood ratio of a secret, in all and a step.
 SAMPLE_ROWS = 20_000
 LEAST_RATIO, LEAST_STEP = 12.0, 0.5
+#: Weight of a character's own frequency against that of the step to it, in steps.
+BACKOFF = 30.0
 
 
 def base(text: Column) -> list[Column]:
@@ -49,8 +51,8 @@ class Model:
 
 
 def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Both models from about sample_rows documents. Steps never seen get the weight of one; without
-    any sample all steps are alike and nothing is a secret."""
+    """Both models from about sample_rows documents. Without any sample all steps are alike and nothing
+    is a secret."""
     sample = spans.sampled(docs, sample_rows, id_col).select(F.coalesce(column(text_col), F.lit("")).alias("text"))
     text = F.col("text")
     found = F.flatten(F.array(*[F.transform(m, lambda x: x["value"]) for m in base(text)]))
@@ -72,8 +74,14 @@ def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sam
     counted = strings.select("s.label", steps.alias("step")).groupBy("label", "step").count().collect()
     counts = {(r.label, r.step): r["count"] for r in counted if len(r.step) == 2}
     after = {(label, a): sum(counts.get((label, a + b), 0) for b in ALPHABET) for label in (0, 1) for a in ALPHABET}
+    alone = {(label, b): 1 + sum(counts.get((label, a + b), 0) for a in ALPHABET) for label in (0, 1) for b in ALPHABET}
+    every = [sum(alone[label, b] for b in ALPHABET) for label in (0, 1)]
     ratio = [0.0] * (128 * 128)
-    chance = lambda label, a, b: (counts.get((label, a + b), 0) + 1) / (after[label, a] + len(ALPHABET))
+
+    def chance(label: int, a: str, b: str) -> float:
+        """Of b after a; where a is rare, mostly that of b alone."""
+        return (counts.get((label, a + b), 0) + BACKOFF * alone[label, b] / every[label]) / (after[label, a] + BACKOFF)
+
     for a in ALPHABET:
         for b in ALPHABET:
             ratio[128 * ord(a) + ord(b)] = math.log(chance(1, a, b) / chance(0, a, b))
