@@ -793,7 +793,7 @@ SELECT query_id, query, CASE WHEN length(rest) < 3 THEN 'source' ELSE 'mixed' EN
 
 @query(
     "routed_search",
-    f"""WITH {_ROUTES}, {sql.hybrid("SELECT query_id, content_query AS query FROM routed WHERE route = 'content' AND query_id IN (SELECT vec_id FROM embeddings)")},
+    f"""WITH {_ROUTES}, {sql.hybrid("SELECT query_id, content_query AS query FROM routed WHERE route = 'content'")},
 {sql.ARTICLES},
 content AS (
   SELECT query_id, 'content' AS route, rank, doc_id, hybrid AS score FROM (
@@ -829,7 +829,7 @@ def _(spark, d):
     corpus = search.Corpus(arts, keyword.build(arts), search.exact(t.vectors(spark, d)))
     given = t.vectors(spark, d).select(F.col("id").alias("query_id"), F.col("embedding").alias("query_vec"))
     found = search.routed_search(
-        corpus, routing_queries(spark, d), lambda q: q.join(given, "query_id"), 10, ALIASES, SOURCE_WORDS
+        corpus, routing_queries(spark, d), lambda q: q.join(given, "query_id", "left"), 10, ALIASES, SOURCE_WORDS
     )
     return found.withColumn("score", F.round("score", 6))
 
@@ -847,14 +847,14 @@ def ingested(spark, d, **limits):
             "source": rules.source_of_url(url),
         }
     )
-    return ingest.ingest(items, classified, F.lit("2024-03-01T00:00:00"), max_quota=20, **limits)
+    return ingest.ingest(items, classified, F.lit("2024-03-01T00:00:00"), **limits)
 
 
 query(
     "ingest_quota",
     f"""WITH {sql.FEEDS}
 SELECT id, title, link, {sql.category('feed')} AS category, {sql.language('feed')} AS language, {sql.source('feed')} AS source
-FROM numbered WHERE id < 10000""",
+FROM numbered""",
 )(lambda spark, d: ingested(spark, d).articles.select("id", "title", "link", "category", "language", "source"))
 query(
     "ingest_feed_outcomes",

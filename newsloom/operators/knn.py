@@ -157,13 +157,15 @@ def nearest(
     """(query_id, id, score, rank) of the k nearest vectors of each query.
 
     vectors: id, embedding, and optionally cell, a part of the table (an inverted list, a
-    lower-cased source). queries: query_id, query_vec, k (at most max_k), and optionally cells
+    lower-cased source). queries: query_id, query_vec, k (more than max_k is an error), and optionally cells
     (the parts to look into) or cell_filter (a text the part must contain, null for all).
     score is the cosine similarity or the Euclidean distance, by metric.
     """
     vectors = vectors.where("id is not null and embedding is not null")
     wanted = [c for c in ("query_id", "query_vec", "k", "cells", "cell_filter") if c in queries.columns]
     queries = queries.where("query_vec is not null").select(*wanted)
+    too_many = F.raise_error(F.concat(F.lit(f"k above {max_k}: "), F.col("k").cast("string")))
+    queries = queries.withColumn("k", F.when(F.col("k") <= max_k, F.col("k")).otherwise(too_many))
     kept = ["id", "embedding"] + (["cell"] if "cell" in vectors.columns else [])
     vectors = vectors.select(*kept)
     if fits(queries, max_query_rows, MAX_QUERY_BYTES):

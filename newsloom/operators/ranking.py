@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from newsloom.session import checkpoint
+
 SALTS = 64
 
 
@@ -42,21 +44,21 @@ def keep_first(df: DataFrame, key: list[Column], order: list[Column]) -> DataFra
     return top_k(keyed, names, order, 1, rank="_rank").drop("_rank", *names)
 
 
-def dense_positions(df: DataFrame, chunk: Column, order: list[Column], name: str = "position") -> DataFrame:
-    """Add the 0-based position of each row in the order (chunk, *order).
+def dense_positions(df: DataFrame, order: list[Column], name: str = "position") -> DataFrame:
+    """Add the 0-based position of each row in an order that tells rows apart.
 
-    chunk splits the rows into parts of bounded size that sort in the wanted order, such as
-    sequence >> 20. Rows are numbered inside their chunk and shifted by the sizes of the
-    chunks before it, so only the list of chunk sizes is ever in one place.
+    Rows are dealt out by ranges of the order, numbered inside their range and shifted by the
+    sizes of the ranges before it, so only one row per range is ever in one place. The dealt
+    rows are kept, so that numbering and counting see the same ranges.
     """
-    chunked = df.withColumn("_chunk", chunk)
-    sizes = chunked.groupBy("_chunk").agg(F.count("*").alias("_n"))
-    before = W.orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sizes.select("_chunk", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    inside = W.partitionBy("_chunk").orderBy(*order)
+    ranged = checkpoint(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    sizes = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = W.partitionBy("_range").orderBy(*order)
     return (
-        chunked.withColumn("_inside", F.row_number().over(inside) - 1)
-        .join(offsets, "_chunk")
+        ranged.withColumn("_inside", F.row_number().over(inside) - 1)
+        .join(F.broadcast(offsets), "_range")
         .withColumn(name, (F.col("_offset") + F.col("_inside")).cast("long"))
-        .drop("_chunk", "_offset", "_inside")
+        .drop("_range", "_offset", "_inside")
     )

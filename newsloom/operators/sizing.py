@@ -19,13 +19,9 @@ def _width(field: T.StructField) -> Column:
 
 
 def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Whether df stays within the bounds. Reads at most max_rows + 1 rows of it."""
+    """Whether df stays within the bounds. Counted in one pass, each task sending one row."""
     width = sum((_width(f) for f in df.schema.fields), F.lit(0))
-    found = (
-        df.limit(max_rows + 1)
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes"))
-        .first()
-    )
+    found = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(width.cast("long")), F.lit(0)).alias("bytes")).first()
     return found.n <= max_rows and found.bytes <= max_bytes
 
 
