@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from checks import sql, tables as t
 from newsloom import configure
@@ -928,8 +928,7 @@ def _(spark, d):
 @query(
     "json_round_trip",
     f"""WITH {sql.ARTICLES}
-SELECT id, title, md5(summary) AS summary_md5, link, published, coalesce(category, 'Unknown') AS category, language,
-       source, crawled_time FROM articles""",
+SELECT id, title, md5(summary) AS summary_md5, link, published, category, language, source, crawled_time FROM articles""",
 )
 def _(spark, d):
     folder = fresh_folder(spark)
@@ -943,6 +942,51 @@ def _(spark, d):
     )
 
 
+def json_dump(spark, d, wrapped: bool) -> str:
+    """The articles as four JSON files in one folder: without category, those of odd id lack the field
+    and the others have it null. Returns the folder."""
+    arts = t.articles(spark, d).select("id", "title", "link", "source", "category")
+    absent, null = F.to_json(F.struct(*arts.columns)), F.to_json(F.struct(*arts.columns), {"ignoreNullFields": "false"})
+    rows = arts.select((F.col("id") % 4).alias("part"), "id", F.when(F.col("id") % 2 == 1, absent).otherwise(null).alias("item"))
+    items = F.transform(F.array_sort(F.collect_list(F.struct("id", "item"))), lambda x: x["item"])
+    files = rows.groupBy("part").agg(F.concat(F.lit("["), F.array_join(items, ",\n"), F.lit("]")).alias("value"))
+    if wrapped:
+        files = files.withColumn("value", F.concat(F.lit('{"dim": 64, "articles": '), F.col("value"), F.lit("}")))
+    folder = fresh_folder(spark)
+    files.write.partitionBy("part").text(folder)
+    return folder
+
+
+def json_read(spark, d, wrapped: bool):
+    """The four files, read last file first. seq shows the order."""
+    folder = json_dump(spark, d, wrapped)
+    found = json_articles.read(spark, [f"{folder}/part={i}" for i in (3, 2, 1, 0)], now())
+    place = F.row_number().over(Window.partitionBy("source").orderBy("seq"))
+    return found.select("id", "title", "link", "category", "language", "source", "crawled_time", place.alias("place"))
+
+
+_JSON_READ = f"""WITH {sql.ARTICLES}
+SELECT id, title, link, CASE WHEN category IS NULL AND id % 2 = 1 THEN 'Unknown' ELSE category END AS category,
+       'Unknown' AS language, source, '2024-03-01T00:00:00' AS crawled_time,
+       row_number() OVER (PARTITION BY source ORDER BY id % 4 DESC, id) AS place FROM articles"""
+query("json_list_read", _JSON_READ)(lambda spark, d: json_read(spark, d, False))
+query("json_wrapped_read", _JSON_READ)(lambda spark, d: json_read(spark, d, True))
+
+
+@query(
+    "merge_null_fields",
+    f"""WITH {sql.ARTICLES}, kept AS (SELECT * FROM articles QUALIFY row_number() OVER (PARTITION BY link ORDER BY id) = 1)
+SELECT id, CASE WHEN category IS NULL AND id % 2 = 0 THEN 'late' WHEN category IS NULL THEN 'Unknown' ELSE category END AS category FROM kept""",
+)
+def _(spark, d):
+    """Articles read with null and absent categories, merged with rows that have one."""
+    folder = json_dump(spark, d, False)
+    read = json_articles.read(spark, [f"{folder}/part={i}" for i in range(4)], now())
+    first = dedup.first_by_link(read.drop("seq")).withColumn("seq", F.col("id"))
+    late = first.withColumn("category", F.lit("late"))
+    return merge.upsert(first, late, now()).articles.select("id", "category")
+
+
 @query(
     "stream_first_links",
     "SELECT 'https://example.org/' || md5(text) AS link, count(DISTINCT text) AS n FROM documents GROUP BY 1",
@@ -1051,12 +1095,35 @@ def _(spark, d):
     )
 
     def handle(batch, number):
-        build.merge_batch(batch.sparkSession, root, batch, now(), "2024-03-01 00:00:00")
+        build.merge_batch(batch.sparkSession, root, batch, now(), "2024-03-01 00:00:00", number=number)
 
     streaming.each_batch(items, handle, f"{root}/state").awaitTermination()
     return snapshots.load(spark, root)["articles"].select("id", "link", "title")
 
 
+@query(
+    "stream_index_update",
+    f"""WITH {sql.ARTICLES}, kept AS (
+  SELECT *, {sql.sanitise('title')} || ' ' || {sql.sanitise('summary')} AS body FROM articles
+  QUALIFY row_number() OVER (PARTITION BY link ORDER BY id) = 1
+)
+SELECT token, count(DISTINCT id) AS df, count(*) AS tf
+FROM (SELECT id, lower(unnest(regexp_extract_all(body, '{sql.WORDS}'))) AS token FROM kept) GROUP BY token""",
+)
+def _(spark, d):
+    """Batches that update the indexes: first the English documents, then all of them; the second
+    batch comes twice, as after a failure. Word statistics must be those of a fresh build."""
+    root = fresh_folder(spark)
+    items = t.articles(spark, d).withColumn("seq", F.col("id")).drop("id")
+    model = embed.fit_hashed(embed.article_texts(t.articles(spark, d)), 64)
+    encode = lambda texts: embed.hashed(model, texts)
+    for number, batch in enumerate([items.where("language = 'en'"), items, items]):
+        build.merge_batch(spark, root, batch, now(), "2024-03-01 00:00:00", encode, 4, min(number, 1))
+    stored = snapshots.load(spark, root)
+    tf = stored["postings"].groupBy("token").agg(F.sum("tf").alias("tf"))
+    return stored["term_stats"].join(tf, "token")
+
+
 query(
     "recall_by_corpus_size_exhaustive",
     """SELECT (SELECT count(*) FROM embeddings) * s // 5 AS corpus_size,
