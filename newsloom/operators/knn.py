@@ -2,22 +2,25 @@
 
 Vectors stay where the scan puts them. Each task multiplies its Arrow batches with the whole
 query batch and keeps a running top-k per query, so a task emits k rows per query however
-many vectors it read; a ranked window merges the tasks. Query batches too large to hand to
-every task are cut into blocks that meet blocks of vectors in a cogroup.
+many vectors it read; a ranked window merges the tasks. A query batch too large to hand to every
+task is cut into blocks, and the vectors are scanned once for each; they are never shuffled.
 """
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from newsloom.operators.ranking import top_k
 from newsloom.operators.sizing import fits
+from newsloom.session import checkpoint
 
 MAX_QUERY_ROWS = 8192
 MAX_QUERY_BYTES = 64 << 20
-VECTORS_PER_BLOCK = 50_000
+# Queries and vectors that are multiplied at once: a product of 16 MB.
+_TILES = 512, 4096
 
 RANK_DIGITS = 9
 RESULT = "query_id long, id long, score double, k long"
@@ -26,6 +29,7 @@ RESULT = "query_id long, id long, score double, k long"
 def _kernel(metric: str, digits: int):
     """Functions that run inside tasks; they carry their imports so that workers need only
     numpy and pyarrow."""
+    TILE_QUERIES, TILE_VECTORS = _TILES
 
     def matrix(column):
         import numpy as np
@@ -93,14 +97,23 @@ def _kernel(metric: str, digits: int):
             if "cell" not in batch.schema.names:
                 self._add(ids, vectors, np.arange(len(self.q.ids)))
                 return
-            cells = np.asarray(batch.column("cell").to_pylist(), dtype=object)
-            for cell in set(cells.tolist()):
+            column = batch.column("cell").dictionary_encode(null_encoding="encode")
+            codes = column.indices.to_numpy(zero_copy_only=False)
+            order = np.argsort(codes, kind="stable")
+            ends = np.searchsorted(codes[order], np.arange(len(column.dictionary)), side="right")
+            first = 0
+            for cell, end in zip(column.dictionary.to_pylist(), ends.tolist()):
+                rows, first = order[first:end], end
                 wanted = self.q.wanting(cell)
-                if len(wanted):
-                    rows = np.flatnonzero(cells == cell)
+                if len(wanted) and len(rows):
                     self._add(ids[rows], vectors[rows], wanted)
 
         def _add(self, ids, vectors, wanted):
+            for i in range(0, len(wanted), TILE_QUERIES):
+                for j in range(0, len(ids), TILE_VECTORS):
+                    self._tile(ids[j : j + TILE_VECTORS], vectors[j : j + TILE_VECTORS], wanted[i : i + TILE_QUERIES])
+
+        def _tile(self, ids, vectors, wanted):
             import numpy as np
 
             dots = self.q.vectors[wanted] @ vectors.T
@@ -112,13 +125,16 @@ def _kernel(metric: str, digits: int):
             else:
                 value = np.sqrt(np.maximum(self.q.squares[wanted][:, None] + squares[None, :] - 2 * dots, 0))
                 better = -np.round(value, digits)
+            # The k-th best value of each query in this tile; everything below it is out.
+            k_most = min(int(self.q.k[wanted].max()), len(ids))
+            ranked = -np.sort(-np.partition(better, len(ids) - k_most, axis=1)[:, len(ids) - k_most :], axis=1)
             for row, i in enumerate(wanted):
                 k = int(self.q.k[i])
+                if k < 1:
+                    continue
                 worth = np.arange(len(ids))
                 if len(ids) > k:
-                    # The k-th best value of this block; everything below it is out.
-                    cut = np.partition(better[row], len(ids) - k)[len(ids) - k]
-                    worth = np.flatnonzero(better[row] >= cut)
+                    worth = np.flatnonzero(better[row] >= ranked[row, k - 1])
                 all_ids = np.concatenate([self.ids[i], ids[worth]])
                 all_scores = np.concatenate([self.scores[i], value[row][worth]])
                 key = np.round(all_scores, digits)
@@ -171,7 +187,7 @@ def nearest(
     if fits(queries, max_query_rows, MAX_QUERY_BYTES):
         found = _scan(vectors, queries, metric)
     else:
-        found = _blocks(vectors, queries, metric, max_query_rows)
+        found = _by_blocks(vectors, queries, metric, max_k, max_query_rows)
     # Every task brings up to k rows of a query; the merged list is cut to its own k again.
     return top_k(found, ["query_id"], by_similarity(metric), max_k).where("rank <= k").drop("k")
 
@@ -192,26 +208,17 @@ def _scan(vectors: DataFrame, queries: DataFrame, metric: str) -> DataFrame:
     return vectors.mapInArrow(task, RESULT)
 
 
-def _blocks(vectors: DataFrame, queries: DataFrame, metric: str, max_query_rows: int) -> DataFrame:
-    n_query_blocks = max(1, math.ceil(queries.count() / max_query_rows))
-    n_vector_blocks = max(1, math.ceil(vectors.count() / VECTORS_PER_BLOCK))
-    all_query_blocks = F.sequence(F.lit(0), F.lit(n_query_blocks - 1))
-    all_vector_blocks = F.sequence(F.lit(0), F.lit(n_vector_blocks - 1))
-    q = queries.withColumn("_q", F.pmod(F.xxhash64("query_id"), F.lit(n_query_blocks)).cast("int"))
-    q = q.withColumn("_v", F.explode(all_vector_blocks))
-    v = vectors.withColumn("_v", F.pmod(F.xxhash64("id"), F.lit(n_vector_blocks)).cast("int"))
-    v = v.withColumn("_q", F.explode(all_query_blocks))
-    Queries, Best = _kernel(metric, RANK_DIGITS)
-
-    def task(query_block, vector_block):
-        if query_block.num_rows == 0:
-            import pyarrow as pa
-
-            empty = {"query_id": pa.int64(), "id": pa.int64(), "score": pa.float64(), "k": pa.int64()}
-            return pa.table({name: pa.array([], kind) for name, kind in empty.items()})
-        best = Best(Queries(query_block))
-        for batch in vector_block.to_batches():
-            best.add(batch)
-        return best.table()
-
-    return q.groupBy("_q", "_v").cogroup(v.groupBy("_q", "_v")).applyInArrow(task, RESULT)
+def _by_blocks(vectors: DataFrame, queries: DataFrame, metric: str, max_k: int, max_query_rows: int) -> DataFrame:
+    """One scan of the vectors for each block of queries; the best of a block are written before the
+    next is read, so one block is in memory at a time."""
+    kept = checkpoint(queries)
+    width = kept.agg(F.max(F.size("query_vec"))).first()[0] or 1
+    rows = min(max_query_rows, max(1, MAX_QUERY_BYTES // (8 * width)))
+    # Blocks are made by a hash; half of the room is left for those that come out larger.
+    n_blocks = max(1, math.ceil(2 * kept.count() / rows))
+    block = F.pmod(F.xxhash64("query_id"), F.lit(n_blocks))
+    parts = []
+    for i in range(n_blocks):
+        best = top_k(_scan(vectors, kept.where(block == i), metric), ["query_id"], by_similarity(metric), max_k)
+        parts.append(checkpoint(best.drop("rank")))
+    return reduce(DataFrame.unionByName, parts)

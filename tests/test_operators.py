@@ -147,7 +147,7 @@ def exact_top(data, q, k, metric, allowed=None):
 @pytest.mark.parametrize("metric", ["cosine", "l2"])
 @pytest.mark.parametrize("max_rows", [8192, 3])
 def test_nearest_is_exact_on_both_paths(spark, monkeypatch, metric, max_rows):
-    monkeypatch.setattr(knn, "VECTORS_PER_BLOCK", 70)
+    monkeypatch.setattr(knn, "_TILES", (2, 70))
     data, df = vectors(spark)
     rng = np.random.default_rng(9)
     asked = np.vstack([rng.normal(size=(6, 12)), data[20:21].astype(float)])
@@ -174,6 +174,13 @@ def test_nearest_with_source_filter(spark):
         assert got.get(i, []) == exact_top(data, np.array(q), 8, "cosine", allowed)
 
 
+def test_too_large_k_is_refused(spark):
+    _, df = vectors(spark)
+    queries = frame(spark, [(1, [1.0] * 12, 9)], "query_id long, query_vec array<double>, k int")
+    with pytest.raises(Exception, match="k above 5"):
+        knn.nearest(df, queries, 5).collect()
+
+
 def test_mixed_dimensions_are_refused(spark):
     df = frame(spark, [(1, [1.0, 2.0]), (2, [1.0])], "id long, embedding array<float>")
     queries = frame(spark, [(1, [1.0, 2.0], 1)], "query_id long, query_vec array<double>, k int")
