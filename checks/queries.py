@@ -445,7 +445,8 @@ def _(spark, d):
 
 @query(
     "model_embeddings",
-    f"""WITH clean AS (SELECT doc_id AS id, substr({sql.embedding_cleanup('text')}, 1, 2000) AS text FROM documents),
+    f"""WITH parts AS (SELECT doc_id AS id, {sql.embedding_cleanup(sql.FIRST_LINE)} AS t, {sql.embedding_cleanup('text')} AS s FROM documents),
+clean AS (SELECT id, substr(CASE WHEN t <> '' AND s <> '' THEN t || '. ' || s ELSE t || s END, 1, 2000) AS text FROM parts),
 raw AS (
   SELECT id, length(text)::DOUBLE AS a, (length(text) - length(replace(text, 'e', '')))::DOUBLE AS b,
          (length(text) - length(replace(text, ' ', '')))::DOUBLE AS c FROM clean WHERE length(text) > 10
@@ -458,8 +459,7 @@ def _(spark, d):
     def load():
         return lambda texts: [[len(x), x.count("e"), x.count(" ")] for x in texts]
 
-    docs = t.documents(spark, d).withColumn("title", F.lit(""))
-    out = embed.with_model(embed.article_texts(docs), load)
+    out = embed.with_model(embed.article_texts(t.documents(spark, d)), load)
     part = lambda i: F.round(F.col("embedding")[i].cast("double"), 4)
     return out.select("id", part(0).alias("x"), part(1).alias("y"), part(2).alias("z"))
 
@@ -934,6 +934,106 @@ SELECT count(*) FILTER (WHERE room > 0) AS successful_feeds, 0 AS failed_feeds,
 )(lambda spark, d: ingested(spark, d, max_articles=100).totals)
 
 
+# Feeds of documents by language, each with a category by its address, and one without items.
+_DOC_FEEDS = {
+    "en": "https://www.bbc.co.uk/rss/technology.xml",
+    "fr": "https://vnexpress.net/rss/the-thao.rss",
+    "de": "https://vnexpress.net/rss/khoa-hoc.rss",
+    "es": "https://tuoitre.vn/rss/the-gioi.rss",
+    "none": "https://vnexpress.net/rss/gone.rss",
+}
+
+
+def doc_feeds(spark, d):
+    """(items, feeds): documents in the feed of their language; equal texts share a link."""
+    feeds_ = [(i, lang, url) for i, (lang, url) in enumerate(_DOC_FEEDS.items())]
+    listed = spark.createDataFrame(feeds_, "feed_seq long, lang string, feed string")
+    items = t.table(spark, d, "documents").join(F.broadcast(listed), "lang").select(
+        "feed_seq",
+        F.col("doc_id").alias("entry_seq"),
+        t.first_line(F.col("text")).alias("title"),
+        F.md5("text").alias("link"),
+        F.lit("").alias("summary"),
+        F.lit("").alias("published"),
+    )
+    return items, listed.drop("lang")
+
+
+_FEED_ROWS = ", ".join(f"({i}, '{lang}', '{url}')" for i, (lang, url) in enumerate(_DOC_FEEDS.items()))
+_QUOTA_CASE = " ".join(f"WHEN '{name}' THEN {n}" for name, n in rules.FEED_QUOTAS.items())
+
+
+def _doc_feeds_sql(quota: str) -> str:
+    return f"""feeds AS (SELECT *, {quota} AS quota FROM (VALUES {_FEED_ROWS}) v(feed_seq, lang, feed)),
+firsts AS (
+  SELECT md5(text) AS link, min(doc_id) AS doc_id, feed_seq, any_value(quota) AS quota
+  FROM documents JOIN feeds USING (lang) GROUP BY ALL
+),
+owned AS (SELECT * FROM firsts),
+taken AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY feed_seq ORDER BY doc_id) AS n FROM owned) WHERE n <= quota
+),
+numbered AS (SELECT row_number() OVER (ORDER BY feed_seq, doc_id) - 1 AS id, link, feed_seq FROM taken)"""
+
+
+query("ingest_large_quota", f"WITH {_doc_feeds_sql('500')} SELECT id, link FROM numbered")(
+    lambda spark, d: large_quota(spark, d)
+)
+
+
+def large_quota(spark, d):
+    items, feed_list = doc_feeds(spark, d)
+    done = ingest.ingest(items, ingest.classify(feed_list).withColumn("quota", F.lit(500)), F.lit("2024-03-01T00:00:00"))
+    return done.articles.select("id", "link")
+
+
+@query(
+    "ingest_classified",
+    f"""WITH {_doc_feeds_sql(f"CASE {sql.category('feed')} {_QUOTA_CASE} ELSE {rules.DEFAULT_QUOTA} END")},
+given AS (
+  SELECT f.feed_seq, f.feed, (SELECT count(*) FROM documents WHERE lang = f.lang) AS entries,
+         (SELECT count(*) FROM taken t WHERE t.feed_seq = f.feed_seq) AS n FROM feeds f
+),
+room AS (SELECT *, 150 - coalesce(sum(n) OVER (ORDER BY feed_seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS room FROM given)
+SELECT feed_seq, feed, entries, least(n, greatest(room, 0))::BIGINT AS accepted,
+       CASE WHEN room <= 0 THEN 'not read' WHEN entries = 0 THEN 'failed' ELSE 'ok' END AS status FROM room""",
+)
+def _(spark, d):
+    """Quotas by category; the crawl ends after 150 articles."""
+    items, feed_list = doc_feeds(spark, d)
+    return ingest.ingest(items, ingest.classify(feed_list), F.lit("2024-03-01T00:00:00"), max_articles=150).feeds
+
+
+@query(
+    "ingest_failed_feed",
+    f"""WITH {_doc_feeds_sql(f"CASE {sql.category('feed')} {_QUOTA_CASE} ELSE {rules.DEFAULT_QUOTA} END")}
+SELECT feed_seq, (SELECT count(*) FROM taken t WHERE t.feed_seq = f.feed_seq) AS accepted,
+       CASE WHEN lang = 'none' THEN 'failed' ELSE 'ok' END AS status FROM feeds f""",
+)
+def _(spark, d):
+    items, feed_list = doc_feeds(spark, d)
+    done = ingest.ingest(items, ingest.classify(feed_list), F.lit("2024-03-01T00:00:00"))
+    return done.feeds.select("feed_seq", "accepted", "status")
+
+
+@query(
+    "dates_of_ten_keys",
+    f"""SELECT o_orderkey, o_orderdate + to_days((o_orderkey % 10)::INT) AS published_ts FROM orders""",
+)
+def _(spark, d):
+    """Every order has a date in the key of its last digit and later ones; earlier keys hold junk or null."""
+    orders = t.table(spark, d, "orders")
+    place = F.col("o_orderkey") % 10
+
+    def value(i: int):
+        date = F.date_format(F.date_add("o_orderdate", F.lit(i)), "yyyy-MM-dd")
+        junk = F.when(F.col("o_orderkey") % 3 == 0, F.lit("soon"))
+        return F.when(place <= i, date).otherwise(junk)
+
+    dated = orders.select("o_orderkey", *[value(i).alias(key) for i, key in enumerate(dates.DATE_KEYS)])
+    return dated.select("o_orderkey", dates.first_datetime(dates.DATE_KEYS).cast("timestamp_ntz").alias("published_ts"))
+
+
 def fresh_folder(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/newsloom-{uuid.uuid4().hex}"
 
@@ -972,6 +1072,29 @@ def _(spark, d):
     return search.ranked(corpus, t.vector_queries(spark, d)).select("query_id", "rank", "doc_id", rounded("score"))
 
 
+@query("report_file", f"SELECT line FROM ({SQL['stats_report']})")
+def _(spark, d):
+    folder = fresh_folder(spark)
+    snapshots.write_report(stats.report(t.articles(spark, d), "2024-03-01 00:00:00"), folder)
+    return spark.read.text(folder).withColumnRenamed("value", "line")
+
+
+@query("comparison_file", SQL["ann_comparison"])
+def _(spark, d):
+    folder = fresh_folder(spark)
+    near = ivf.approximate(given_index(spark, d), N_GIVEN_PROBES)
+    compared = compare.compare(t.vectors(spark, d), near, t.documents(spark, d), t.filtered_queries(spark, d), 10)
+    snapshots.write_comparison(compared, folder)
+    back = spark.read.schema(compared.schema).json(folder)
+    ids = lambda c: F.array_join(F.transform(c, lambda x: x["index"].cast("string")), ",")
+    return back.select(
+        "query_id",
+        ids("exact_results").alias("exact_ids"),
+        ids("approx_results").alias("approx_ids"),
+        *["exact_count", "approx_count", "common_results", rounded("accuracy")],
+    )
+
+
 @query(
     "json_round_trip",
     f"""WITH {sql.ARTICLES}
