@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsloom.llm import chat_format, decontaminate, mixing, near_dedup, pii, quality, repeats, secrets, token_files
+from newsloom.llm import chat_format, decontaminate, line_dedup, mixing, near_dedup, pii, quality, repeats, secrets, token_files
 from newsloom.llm.sql import SQL  # noqa: F401  read by the entry module
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -19,6 +19,10 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.without_repeats(_table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -65,6 +69,7 @@ QUERIES = {
     q.__name__: q
     for q in (
         op1_near_duplicates,
+        op2_line_dedup,
         op3_decontamination,
         op4_secrets,
         op5_chat_format,

@@ -116,8 +116,26 @@ places AS (
 SELECT doc_id, size, source_size, target, size * (whole + CASE WHEN 2 * upto - size <= 2 * remains THEN 1 ELSE 0 END) AS taken FROM places
 """
 
+LINES = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(range(len(l))) AS i, unnest(l) AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),
+hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM lines),
+rolled AS (
+  SELECT *, h + 31 * coalesce(lag(h) OVER w, 0) + 961 * coalesce(lag(h, 2) OVER w, 0) AS r FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+numbered AS (
+  SELECT doc_id, i, line, coalesce(sum(CASE WHEN (r // 1024) % 4 = 0 THEN 1 ELSE 0 END)
+    OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS place FROM rolled),
+chunks AS (SELECT doc_id, place, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM numbered GROUP BY ALL),
+flagged AS (
+  SELECT *, n > 1 AND body <> '' AND row_number() OVER (PARTITION BY body, n > 1 ORDER BY doc_id, place) > 1 AS gone FROM chunks)
+SELECT doc_id, sum(n)::BIGINT AS n_lines, count(*) AS n_chunks, coalesce(sum(n) FILTER (WHERE gone), 0)::BIGINT AS n_removed_lines,
+  count(*) FILTER (WHERE gone) AS n_removed_chunks, sha256(coalesce(string_agg(body, chr(10) ORDER BY place) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM flagged GROUP BY doc_id
+"""
+
 SQL = {
     "op1_near_duplicates": NEAR_DUPLICATES,
+    "op2_line_dedup": LINES,
     "op3_decontamination": DECONTAMINATION,
     "op5_chat_format": CHAT,
     "op6_quality": QUALITY,

@@ -65,6 +65,32 @@ def contamination(docs, items, window=10):
     return rows
 
 
+def line_chunks(text):
+    """[(n_lines, body)] of a text."""
+    lines, found, held = (text or "").split("\n"), [], []
+    hashes = [int(hashlib.md5(line.encode()).hexdigest()[:8], 16) for line in lines]
+    for i, line in enumerate(lines):
+        held.append(line)
+        rolling = sum(hashes[i - k] * 31**k for k in range(3) if i >= k)
+        if rolling // 1024 % 4 == 0 or i == len(lines) - 1:
+            found.append((len(held), "\n".join(held)))
+            held = []
+    return found
+
+
+def line_dedup(docs):
+    """{id: (kept_text, n_lines, n_chunks, n_removed_lines, n_removed_chunks)} of (id, text), ids distinct."""
+    seen, rows = set(), {}
+    for i, text in sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0)):
+        chunks, kept, gone = line_chunks(text), [], []
+        for n, body in chunks:
+            (gone if n > 1 and body in seen else kept).append((n, body))
+            if n > 1 and body:
+                seen.add(body)
+        rows[i] = ("\n".join(b for _, b in kept), sum(n for n, _ in chunks), len(chunks), sum(n for n, _ in gone), len(gone))
+    return rows
+
+
 def _either(word):
     return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
 

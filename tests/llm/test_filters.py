@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from newsloom.llm import decontaminate, mixing, near_dedup, quality, repeats, run_index
+from newsloom.llm import decontaminate, line_dedup, mixing, near_dedup, quality, repeats, run_index
 from tests.llm import plain
 from tests.llm.conftest import prose
 
@@ -154,6 +154,32 @@ def test_water_filling_holds_several_sources(spark):
     assert {s: round(t, 6) for s, t in got.items()} == {s: round(t, 6) for s, t in plain.targets(sizes).items()}
 
 
+def line_rows():
+    passage = "\n".join(prose(400 + k, 6) for k in range(40))
+    rows = [(i, "\n".join([*(prose(500 + 50 * i + k, 4) for k in range(i)), passage, prose(900 + i, 5)])) for i in range(12)]
+    rows += [(40, "\n" * 30), (41, "\n" * 31), (42, passage.replace("ka", "KA")), (None, passage), (43, passage + "\n" + passage)]
+    return rows + [(44, "x\n" * 5000), (45, "y" * 100_000)]
+
+
+def test_line_dedup(spark, edge_docs, edge_rows, empty_docs):
+    key = lambda r: (r.kept_text, r.n_lines, r.n_chunks, r.n_removed_lines, r.n_removed_chunks)
+    want = plain.line_dedup(edge_rows)
+    found = line_dedup.without_repeats(edge_docs).collect()
+    assert pairs((r.doc_id, *key(r)) for r in found) == pairs((i, *want[i]) for i, _ in [*edge_rows, edge_rows[8]])
+    want = plain.line_dedup(line_rows())
+    found = line_dedup.without_repeats(spark.createDataFrame(line_rows(), "doc_id long, text string")).collect()
+    assert {r.doc_id: key(r) for r in found} == want
+    # The passage goes from every document but the first, but for the lines around its ends.
+    assert all(want[i][3] >= 30 for i in range(12)) and want[None][3] == 0
+    assert line_dedup.without_repeats(empty_docs).collect() == []
+
+
+def test_chunks_with_one_hash_are_compared(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "_keys", lambda body: [F.lit(1).alias("k1"), F.lit(1).alias("k2")])
+    found = line_dedup.without_repeats(spark.createDataFrame(line_rows(), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.kept_text for r in found} == {i: v[0] for i, v in plain.line_dedup(line_rows()).items()}
+
+
 def test_repeats(spark, edge_docs, edge_rows, empty_docs):
     want = plain.kept_bytes(edge_rows)
     found = repeats.without_repeats(edge_docs).collect()
