@@ -44,8 +44,28 @@ def test_keep_first_is_limited_before_its_shuffle(spark):
 
 
 def test_statistics_scan_once(spark):
-    text = plan(stats.counts(t.documents(spark, SMALL).withColumn("category", F.lit("c"))))
+    docs = t.documents(spark, SMALL).withColumn("category", F.lit("c"))
+    text = plan(stats.grouped(docs))
     assert text.count("FileScan") == 1 and "Expand" in text
+    # Shares and ranks come from the kept counts, without gathering a dimension in one task.
+    for df in (stats.counts(docs), stats.ranked(stats.counts(docs))):
+        assert "FileScan" not in plan(df) and "windowspecdefinition(dimension" not in plan(df)
+
+
+def test_sizes_are_counted_map_side(spark):
+    """A size check sends one row per task, whatever it counts."""
+    from newsloom.operators import sizing
+
+    seen = []
+    df = spark.range(100_000).repartition(6)
+    original = type(df).first
+    try:
+        type(df).first = lambda self: (seen.append(plan(self)), original(self))[1]
+        assert sizing.fits(df, 100_000, 1 << 30)
+    finally:
+        type(df).first = original
+    above, _, below = seen[0].partition("Exchange SinglePartition")
+    assert "partial_count" in below.split("Exchange")[0] and "Limit" not in seen[0].split("CollectLimit")[-1].split("\n", 1)[-1]
 
 
 def test_only_needed_columns_are_read(spark):
