@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from newsloom.llm import textbytes as tb
 from newsloom.llm.graph import components
@@ -210,48 +210,110 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def apart(members: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Plausible pairs (a, b) of documents that share a bucket but no component. Members
-    (bucket, id, component) meet block by block; only plausible pairs leave a task."""
+    """What to compare yet of documents that share a bucket but no component, members being
+    (bucket, id, component, size) with the size of the component. Rows (id, other, whole): two
+    documents without a link so far (whole is false), or a document and a larger component of which
+    a member in the bucket is plausible, to be compared with all of it (whole is true, other names
+    the component). So a document next to a large component is one row, not one for each member.
+    Members meet block by block."""
 
     def run(table):
-        ids, component, side, n = (table.column(c).to_numpy() for c in ("id", "component", "side", "n"))
+        ids, component, size, side, n = (table.column(c).to_numpy() for c in ("id", "component", "size", "side", "n"))
         cells = _as_rows(table.column("sketch").combine_chunks(), np.uint16, REGISTERS)
-        left, right = np.flatnonzero(side != 2), np.flatnonzero(side != 1)
-        a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        for i in left.tolist():
-            other = right[(component[right] != component[i]) & ((side[right] == 2) | (ids[right] > ids[i]))]
-            other = other[100 * np.minimum(n[other], n[i]) >= 75 * np.maximum(n[other], n[i])]
-            other = other[(cells[other] == cells[i]).sum(axis=1) >= 0.4 * REGISTERS]
-            if len(other):
-                mine = np.repeat(cells[i : i + 1], len(other), axis=0)
-                good = estimate(mine, cells[other], np.full(len(other), float(n[i])), n[other].astype(float))
-                other = other[good >= LEAST_ESTIMATE]
-                a.append(np.minimum(ids[other], ids[i]))
-                b.append(np.maximum(ids[other], ids[i]))
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+        # One end of a pair at least is outside of the block's largest component.
+        names, counts = np.unique(component, return_counts=True)
+        outside = component != names[counts.argmax()]
+        places = np.arange(len(ids))
+        rows = [np.zeros((0, 3), np.int64)]
+        # Two documents that share several buckets meet in that of their first common band.
+        bands = cells.reshape(-1, BANDS, ROWS)
+        band = (bands == bands[0]).all(axis=2).all(axis=0).argmax()
+        for i in np.flatnonzero(outside).tolist():
+            fresh = (component != component[i]) & (~outside | (places > i)) & ((side != side[i]) | (side[i] == 0))
+            other = np.flatnonzero(fresh & (100 * np.minimum(n, n[i]) >= 75 * np.maximum(n, n[i])))
+            same = bands[other] == bands[i]
+            other = other[(same.all(axis=2).argmax(axis=1) == band) & (same.sum(axis=(1, 2)) >= 0.4 * REGISTERS)]
+            if not len(other):
+                continue
+            mine = np.repeat(cells[i : i + 1], len(other), axis=0)
+            good = estimate(mine, cells[other], np.full(len(other), float(n[i])), n[other].astype(float))
+            other = other[good >= LEAST_ESTIMATE]
+            single = (size[other] == 1) & (size[i] == 1)
+            larger = (size[other] > size[i]) | ((size[other] == size[i]) & (component[other] > component[i]))
+            found = np.empty((len(other), 3), np.int64)
+            found[:, 0] = np.where(single, np.minimum(ids[other], ids[i]), np.where(larger, ids[i], ids[other]))
+            found[:, 1] = np.where(single, np.maximum(ids[other], ids[i]), np.where(larger, component[other], component[i]))
+            found[:, 2] = ~single
+            rows.append(np.unique(found, axis=0))
+        found = np.unique(np.concatenate(rows), axis=0)
+        return pa.table({"id": found[:, 0], "other": found[:, 1], "whole": found[:, 2].astype(bool)})
 
     torn = members.groupBy("bucket").agg(
         F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_size")
     ).filter("_low < _high")
     blocks = F.ceil(F.col("_size") / BLOCK).cast("int")
-    placed = members.join(torn.select("bucket", blocks.alias("blocks")), "bucket").withColumn(
-        "block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    )
+    placed = members.join(torn.select("bucket", blocks.alias("blocks")), "bucket").withColumn("block", _part("id", "blocks"))
     dealt = (
-        placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .join(sketches.select("id", "n", "sketch"), "id")
         .select(
             "bucket",
-            F.least("block", "other").alias("i"),
-            F.greatest("block", "other").alias("j"),
+            F.least("block", "with").alias("i"),
+            F.greatest("block", "with").alias("j"),
             "id",
             "component",
-            F.when(F.col("block") == F.col("other"), 0).when(F.col("block") < F.col("other"), 1).otherwise(2).alias("side"),
+            "size",
+            F.when(F.col("block") == F.col("with"), 0).when(F.col("block") < F.col("with"), 1).otherwise(2).alias("side"),
             "n",
             "sketch",
         )
     )
-    return dealt.groupBy("bucket", "i", "j").applyInArrow(run, "a long, b long").distinct()
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(run, "id long, other long, whole boolean").distinct()
+
+
+def _part(name: str, parts: str) -> Column:
+    return F.pmod(F.xxhash64(name), F.col(parts)).cast("int")
+
+
+def linked_to_component(tests: DataFrame, at: DataFrame, sets: DataFrame) -> DataFrame:
+    """For (id, component) to test: a link (a, b) between the document and a member of the component,
+    if there is one. Members and documents are dealt in blocks; a task finds the intersections
+    of a document with all members of its block at once, from the members' elements in order."""
+
+    def run(table):
+        ids, tested = table.column("id").to_numpy(), table.column("tested").to_numpy(zero_copy_only=False)
+        held = [np.frombuffer(c.as_buffer(), np.uint64) for c in table.column("set")]
+        members, wanted = np.flatnonzero(~tested), np.flatnonzero(tested)
+        a, b = [], []
+        if len(members) and len(wanted):
+            sizes = np.array([len(held[m]) for m in members])
+            elements = np.concatenate([held[m] for m in members])
+            whose = np.repeat(np.arange(len(members)), sizes)
+            order = np.argsort(elements, kind="stable")
+            elements, whose = elements[order], whose[order]
+            for w in wanted.tolist():
+                first = np.searchsorted(elements, held[w])
+                length = np.searchsorted(elements, held[w], side="right") - first
+                hits = np.repeat(first - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+                shared = np.bincount(whose[hits], minlength=len(members))
+                alike = np.flatnonzero(100 * shared >= 75 * (sizes + len(held[w]) - shared))
+                if len(alike):
+                    a.append(ids[w])
+                    b.append(ids[members[alike[0]]])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    count = lambda n: F.ceil(F.count("*") / n).cast("int")
+    shape = (
+        at.join(tests.select("component").distinct(), "component", "left_semi").groupBy("component")
+        .agg(count(BLOCK // 2).alias("blocks")).join(tests.groupBy("component").agg(count(BLOCK).alias("lots")), "component")
+    )
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    members = at.select(F.col("node").alias("id"), "component").join(shape, "component")
+    members = members.select("id", "component", _part("id", "blocks").alias("block"), every("lots").alias("lot"), F.lit(False).alias("tested"))
+    wanted = tests.join(shape, "component")
+    wanted = wanted.select("id", "component", every("blocks").alias("block"), _part("id", "lots").alias("lot"), F.lit(True).alias("tested"))
+    dealt = members.unionByName(wanted).join(sets, "id")
+    return dealt.groupBy("component", "block", "lot").applyInArrow(run, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -288,25 +350,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = docs.join(hinted(ids), "id", "left_semi").select("id", "text")
     sets = stored(texts.mapInArrow(sets_of, "id long, set binary"), "sets")
 
-    # Each document with the smallest center of its buckets, then with its other centers, then
+    # Each document with the smallest center of its buckets, then with its other centers, then with
     # whatever shares a bucket and is still in another component.
     star = members.filter("center < id").select(F.col("center").alias("a"), F.col("id").alias("b")).distinct()
     first = plausible(star.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sketches)
     tested = stored(first, "tested")
     links = stored(confirmed(tested, sets), "links")
     at = components(links)
-    for pairs in (
-        lambda: plausible(_split(star, at).join(tested, ["a", "b"], "left_anti"), sketches),
-        lambda: apart(_at(members, at, "id", "component"), sketches).join(tested, ["a", "b"], "left_anti"),
-    ):
-        new = stored(pairs(), "tested")
-        if new.isEmpty():
-            continue
-        tested = tested.unionByName(new)
-        more = stored(confirmed(new, sets), "links")
-        if not more.isEmpty():
-            links = links.unionByName(more)
-            at = components(links)
+    second = stored(plausible(_split(star, at).join(tested, ["a", "b"], "left_anti"), sketches), "tested")
+    links, at = _with(links, at, confirmed(second, sets))
+    sizes = at.groupBy("component").agg(F.count("*").alias("size"))
+    placed = _at(members, at, "id", "component").join(sizes, "component", "left").fillna(1, ["size"])
+    rest = stored(apart(placed, sketches), "rest")
+    pairs = rest.filter("not whole").select(F.col("id").alias("a"), F.col("other").alias("b"))
+    tests = rest.filter("whole").select("id", F.col("other").alias("component"))
+    pairs = pairs.join(tested.unionByName(second), ["a", "b"], "left_anti")
+    links, at = _with(links, at, confirmed(pairs, sets).unionByName(linked_to_component(tests, at, sets)))
     at = at.select(F.col("node").alias("id"), "component")
     groups = classes.select("f1", "f2", "n", "id").join(at, "id", "left")
     groups = groups.select("f1", "f2", "n", F.coalesce("component", "id").alias("component"))
@@ -326,6 +385,15 @@ def _at(df: DataFrame, at: DataFrame, name: str, to: str) -> DataFrame:
     return df.join(where, name, "left").withColumn(to, F.coalesce("_component", name)).drop("_component")
 
 
+def _with(links: DataFrame, at: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The links with more, and the components of both."""
+    more = stored(more, "links")
+    if more.isEmpty():
+        return links, at
+    links = links.unionByName(more)
+    return links, components(links)
+
+
 def _split(pairs: DataFrame, at: DataFrame) -> DataFrame:
     """The pairs whose ends lie in different components."""
     return _at(_at(pairs, at, "a", "_x"), at, "b", "_y").filter("_x != _y").select("a", "b")
