@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsloom.llm import textbytes as tb
 from newsloom.llm.run_index import DEPTH as LENGTH, repeated_windows
-from newsloom.llm.tables import column, hinted, stored
+from newsloom.llm.tables import column, stored
 
 GRAM = 32
 _GRAMS = LENGTH - GRAM + 1  # in a window
@@ -254,8 +254,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     met = stored(_read(docs, buckets).repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_met, _FOUND), "met")
     wanted = met.filter(F.octet_length("contexts") > 0).groupBy("id").agg(F.collect_list("contexts").alias("contexts"))
     wanted = stored(wanted, "contexts")
-    size = F.lit(60) + F.aggregate("contexts", F.lit(0), lambda a, c: a + F.octet_length(c))
-    texts = docs.join(hinted(wanted, size), "id").select("id", "text", "contexts")
+    texts = docs.join(wanted, "id").select("id", "text", "contexts")
     fetched = texts.mapInArrow(_fetched(buckets), "bucket int, places binary, bytes binary")
     more = fetched.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_matched, "id long, spans binary")
     spans = met.filter(F.octet_length("spans") > 0).select("id", "spans").unionByName(stored(more, "matched"))
@@ -277,7 +276,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         F.coalesce(column(id_col).cast("long"), least).alias("id"), F.coalesce(column(text_col), F.lit("")).alias("text")
     )
     spans = repeated_spans(rows)
-    size = F.lit(60) + F.aggregate("spans", F.lit(0), lambda a, c: a + F.octet_length(c))
 
     def run(batches):
         for batch in batches:
@@ -299,6 +297,6 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, k) for c, k in zip(columns, kinds)]], names)
 
     names = ["doc_id", "text_bytes", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    return rows.join(hinted(spans, size), "id", "left").select("id", "text", "spans").mapInArrow(
+    return rows.join(spans, "id", "left").select("id", "text", "spans").mapInArrow(
         run, "doc_id long, text_bytes binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )
