@@ -8,8 +8,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Bytes of text that are worked on at once, at least one row.
-SLICE_BYTES = 4 << 20
+#: Bytes of text that are worked on at once, at least one row; each takes about 80 bytes of arrays.
+SLICE_BYTES = 2 << 20
 
 _MASK = (1 << 64) - 1
 
@@ -41,7 +41,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
         x = np.full(n, base, np.uint64)
         x[0] = 1
         made.append(np.multiply.accumulate(x))
-    if n <= 2 * SLICE_BYTES:
+    if n <= 4 * SLICE_BYTES:
         _powers[:] = made
     return made[0], made[1]
 
