@@ -226,13 +226,14 @@ def apart(members: DataFrame, sketches: DataFrame) -> DataFrame:
         places = np.arange(len(ids))
         rows = [np.zeros((0, 3), np.int64)]
         # Two documents that share several buckets meet in that of their first common band.
-        bands = cells.reshape(-1, BANDS, ROWS)
-        band = (bands == bands[0]).all(axis=2).all(axis=0).argmax()
+        shift = (16 * np.arange(ROWS)).astype(np.uint64)
+        bands = (cells.reshape(-1, BANDS, ROWS).astype(np.uint64) << shift).sum(axis=2, dtype=np.uint64)
+        band = (bands == bands[0]).all(axis=0).argmax()
         for i in np.flatnonzero(outside).tolist():
             fresh = (component != component[i]) & (~outside | (places > i)) & ((side != side[i]) | (side[i] == 0))
             other = np.flatnonzero(fresh & (100 * np.minimum(n, n[i]) >= 75 * np.maximum(n, n[i])))
-            same = bands[other] == bands[i]
-            other = other[(same.all(axis=2).argmax(axis=1) == band) & (same.sum(axis=(1, 2)) >= 0.4 * REGISTERS)]
+            other = other[(bands[other] == bands[i]).argmax(axis=1) == band]
+            other = other[(cells[other] == cells[i]).sum(axis=1) >= 0.4 * REGISTERS]
             if not len(other):
                 continue
             mine = np.repeat(cells[i : i + 1], len(other), axis=0)
