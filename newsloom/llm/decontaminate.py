@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from newsloom.llm import textbytes as tb
-from newsloom.llm.tables import column, free_name, hinted, stored
+from newsloom.llm.tables import column, free_name, hinted, keyed, stored
 
 WINDOW = 10
 SLOP = 20  # words around the rarest term in which all others make a proximity match
@@ -300,9 +300,10 @@ def _vocabulary(cells: DataFrame) -> np.ndarray | None:
 
 
 def decontaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs without a hit, with all their columns. Rows are told apart by their id; a row
-    without an id stays."""
-    gone = free_name(docs, "_gone")
-    bad = contamination(docs, items, id_col=id_col, text_col=text_col).filter("contaminated and doc_id is not null")
+    """The rows of docs without a hit, with all their columns. Rows without an id, and rows that share
+    an id with another text, are judged each by its own text."""
+    gone, key = free_name(docs, "_gone"), free_name(docs, "_key")
+    docs = keyed(docs, key, id_col, text_col)
+    bad = contamination(docs, items, id_col=key, text_col=text_col).filter("contaminated")
     bad = stored(bad.select(F.col("doc_id").alias(gone)).distinct(), "contaminated")
-    return docs.join(hinted(bad), column(id_col).cast("long") == F.col(gone), "left_anti")
+    return docs.join(hinted(bad), F.col(key) == F.col(gone), "left_anti").drop(key)

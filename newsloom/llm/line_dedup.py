@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from newsloom.llm.tables import column, hinted, let, stored
+from newsloom.llm.tables import column, hinted, keyed, let, stored
 
 WINDOW = 3
 #: A chunk has about so many lines.
@@ -78,28 +78,26 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Lines are split at line feeds. A chunk of two lines or more goes if the same bytes are a chunk of
     a smaller id, or an earlier one of the same document; a chunk of empty lines only has no bytes to
-    compare and stays. What is left is joined by line feeds. An id must name one text: rows
-    repeated with their id and text are one document and each get its row. Null ids are one document
-    before all others. A null or empty text is one empty line. An empty table gives an empty
-    table; other columns are not looked at.
+    compare and stays. What is left is joined by line feeds. Rows repeated with their id and text are
+    one document and each get its row. Rows without an id are documents of their own before all others;
+    these, and the texts of an id that has several, are in the order of their digests. A null or empty
+    text is one empty line. An empty table gives an empty table; other columns are not looked at.
     """
-    least = F.lit(-(1 << 63)).cast("long")
-    rows = docs.select(
-        F.coalesce(column(id_col).cast("long"), least).alias("id"), F.coalesce(column(text_col), F.lit("")).alias("text")
-    )
+    rows = docs.select(column(id_col).cast("long").alias("doc_id"), F.coalesce(column(text_col), F.lit("")).alias("text"))
+    rows = keyed(rows, "id", "doc_id", "text")
     gone = repeated_chunks(rows.dropDuplicates(["id"]) if _has_repeated_ids(rows) else rows)
     whole = rows.join(hinted(gone, F.size("places") * 4 + 24), "id", "left").select(
-        "id", F.explode(F.array(chunks(F.col("text")))).alias("all"), F.coalesce("places", F.array().cast("array<int>")).alias("places")
+        "doc_id", F.explode(F.array(chunks(F.col("text")))).alias("all"), F.coalesce("places", F.array().cast("array<int>")).alias("places")
     )
     every = F.sequence(F.lit(0), F.size("all") - 1)
     at = lambda places: F.transform(places, lambda i: F.get("all", i))
     split = F.struct(at(F.array_except(every, "places")).alias("kept"), at(F.array_intersect(every, "places")).alias("gone"))
     split = F.explode(F.array(split))
     total = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda n, x: n + x["n_lines"])
-    parts = whole.select("id", "all", split.alias("s"))
+    parts = whole.select("doc_id", "all", split.alias("s"))
     text = F.array_join(F.transform("s.kept", lambda c: c["body"]), "\n")
-    return parts.select("id", "all", "s", F.explode(F.array(text)).alias("kept_text")).select(
-        F.nullif("id", least).alias("doc_id"),
+    return parts.select("doc_id", "all", "s", F.explode(F.array(text)).alias("kept_text")).select(
+        "doc_id",
         "kept_text",
         total(F.col("all")).alias("n_lines"),
         F.size("all").cast("long").alias("n_chunks"),

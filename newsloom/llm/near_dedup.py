@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from newsloom.llm import textbytes as tb
 from newsloom.llm.graph import components
-from newsloom.llm.tables import column, free_name, hinted, stored
+from newsloom.llm.tables import column, free_name, hinted, keyed, stored
 
 SHINGLE = 5
 BANDS, ROWS = 32, 3  # documents of similarity 0.75 miss each other once in 40 million pairs
@@ -401,8 +401,10 @@ def _split(pairs: DataFrame, at: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that near_duplicates() keeps, with all their columns. Rows that share a
-    kept id all stay."""
-    gone = free_name(docs, "_gone")
-    found = near_duplicates(docs, id_col, text_col).filter("not kept").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(hinted(found), column(id_col).cast("long") == F.col(gone), "left_anti")
+    """The rows of docs that near_duplicates() keeps, with all their columns. Rows without an id are
+    documents of their own before all others, as are the texts of an id that has several. Rows
+    that share a kept id and its text all stay."""
+    gone, key = free_name(docs, "_gone"), free_name(docs, "_key")
+    docs = keyed(docs, key, id_col, text_col)
+    found = near_duplicates(docs, key, text_col).filter("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(hinted(found), F.col(key) == F.col(gone), "left_anti").drop(key)

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from newsloom.llm import textbytes as tb
 from newsloom.llm.run_index import DEPTH as LENGTH, repeated_windows
-from newsloom.llm.tables import column, stored
+from newsloom.llm.tables import column, keyed, stored
 
 GRAM = 32
 _GRAMS = LENGTH - GRAM + 1  # in a window
@@ -267,15 +267,14 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A byte is removed if it is covered by LENGTH bytes that begin earlier too: in a document of smaller
     id, or at an earlier place of the same one. Strings are judged on the input and may overlap; no
     string crosses documents. text_bytes are the remaining bytes, which need not be valid UTF-8 where
-    a character was cut. An id must name one text: rows repeated with their id and text are one
-    document and each get its row. Null ids are one document before all others. Null and empty
-    texts have no bytes. An empty table gives an empty table; other columns are not looked at.
+    a character was cut. Rows repeated with their id and text are one document and each get its row.
+    Rows without an id are documents of their own before all others; these, and the texts of an id
+    that has several, are in the order of their digests. Null and empty texts have no bytes. An empty
+    table gives an empty table; other columns are not looked at.
     """
-    least = F.lit(-(1 << 63)).cast("long")
-    rows = docs.select(
-        F.coalesce(column(id_col).cast("long"), least).alias("id"), F.coalesce(column(text_col), F.lit("")).alias("text")
-    )
-    spans = repeated_spans(rows)
+    rows = docs.select(column(id_col).cast("long").alias("doc_id"), F.coalesce(column(text_col), F.lit("")).alias("text"))
+    rows = keyed(rows, "id", "doc_id", "text")
+    spans = repeated_spans(rows.select("id", "text"))
 
     def run(batches):
         for batch in batches:
@@ -292,11 +291,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 for c, v in zip(columns, values):
                     c.append(v)
             kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-            ids = batch.column("id").to_pylist()
-            ids = pa.array([None if i == -(1 << 63) else i for i in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, k) for c, k in zip(columns, kinds)]], names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *[pa.array(c, k) for c, k in zip(columns, kinds)]], names)
 
     names = ["doc_id", "text_bytes", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    return rows.join(spans, "id", "left").select("id", "text", "spans").mapInArrow(
+    return rows.join(spans, "id", "left").select("doc_id", "text", "spans").mapInArrow(
         run, "doc_id long, text_bytes binary, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )

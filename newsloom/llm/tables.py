@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from newsloom.operators.ranking import dense_positions
 from newsloom.session import shared_dir
 
 #: A side of a join up to this many rows and bytes is broadcast; a larger one is shuffled.
@@ -48,6 +49,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def keyed(docs: DataFrame, key: str, id_col: str, text_col: str) -> DataFrame:
+    """docs with a whole number as column key that tells documents apart, in the order of their ids.
+
+    Where every row has an id of its own, that is the key. Otherwise keys are numbered by id, null ids
+    first, then by the text's digest: each row without an id is a document, and so are the texts of an
+    id that has several; rows with one id and one text share a key. Null texts count as empty.
+    """
+    number = column(id_col).cast("long")
+    if docs.groupBy(number.alias("id")).count().filter("count > 1 or id is null").isEmpty():
+        return docs.withColumn(key, number)
+    row, known, own, digest = (free_name(docs, f"{key}_{name}") for name in ("row", "known", "own", "digest"))
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "rows").withColumns(
+        {
+            known: F.coalesce(number, F.lit(0)),
+            own: F.when(number.isNull(), F.col(row)).otherwise(-1),
+            digest: F.sha2(F.coalesce(column(text_col), F.lit("")).cast("binary"), 256),
+        }
+    )
+    order = [F.col(own) < 0, F.col(known), F.col(digest), F.col(own)]
+    numbers = dense_positions(rows.select(known, digest, own).distinct(), order, key)
+    return rows.join(numbers, [known, digest, own]).select(*[column(c) for c in docs.columns], key)
+
+
 def small(df: DataFrame, width: Column | int = 8) -> bool:
     """Whether df was counted to be within the bounds for a broadcast. width: bytes of a row."""
     width = F.lit(width) if isinstance(width, int) else width

@@ -198,6 +198,34 @@ def test_repeats_of_shifted_passages(spark, monkeypatch):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == plain.kept_bytes(rows)
 
 
+def test_rows_without_an_id_and_ids_with_several_texts(spark):
+    """Each is a document of its own: nothing unique of it goes, what repeats does."""
+    passage = "\n".join(prose(700 + k, 6) for k in range(30))
+    rows = [(None, prose(750, 40) + "\n" + passage), (None, prose(751, 40)), (None, passage), (None, passage), (3, passage), (3, prose(752, 40))]
+    rows += [(4, prose(753, 40)), (4, prose(753, 40)), (-(1 << 63), prose(754, 9))]
+    schema = "doc_id long, text string"
+    docs = spark.createDataFrame(rows, schema).repartition(3)
+    # Numbered as the operators define it: no id first, then by digest; equal rows of an id are one.
+    own = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, plain.sha(r[1])))
+    numbers = [own.index(r) if r[0] is not None else n for n, r in enumerate(own)]
+    apart = list(dict(zip(numbers, own)).items())
+    texts = [(n, text) for n, (_, text) in apart]
+
+    want = plain.line_dedup(texts)
+    found = line_dedup.without_repeats(docs).collect()
+    assert pairs((r.doc_id, r.kept_text) for r in found) == pairs((r[0], want[n][0]) for n, r in zip(numbers, own))
+    want = plain.kept_bytes(texts)
+    found = repeats.without_repeats(docs).collect()
+    got = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found]
+    assert pairs(got) == pairs((r[0], *want[n]) for n, r in zip(numbers, own))
+    want = plain.near_duplicates(texts)
+    kept = pairs(r for n, r in zip(numbers, own) if want[n][2])
+    assert pairs(map(tuple, near_dedup.deduplicated(docs).collect())) == kept and len(kept) < len(rows)
+    items = [(1, prose(751, 40)), (2, prose(752, 40))]
+    clean = decontaminate.decontaminated(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert pairs(map(tuple, clean.collect())) == pairs(r for r in rows if r[1] not in [text for _, text in items])
+
+
 def test_run_index_against_plain_search():
     texts = [prose(300 + k, 80).encode()[k : k + 250] for k in range(6)]
     texts += [texts[0][30:200], texts[1][:99], b"", texts[2][5:150] + texts[0][40:160], b"q" * 150]
