@@ -5,8 +5,23 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from newsloom.llm import chat_format, decontaminate, line_dedup, mixing, near_dedup, pii, quality, repeats, secrets, token_files
+from newsloom.llm import (
+    chat_format,
+    decontaminate,
+    fill_middle,
+    hard_negatives,
+    line_dedup,
+    mixing,
+    near_dedup,
+    pii,
+    quality,
+    repeats,
+    secrets,
+    token_files,
+    toxicity,
+)
 from newsloom.llm.sql import SQL  # noqa: F401  read by the entry module
+from newsloom.llm.tables import stored
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -65,6 +80,21 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(token_files.write(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER)))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.scored(docs, toxicity.trained(docs, _table(spark, sf_dir, "labels"))).drop("worst")
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.transformed(stored(fill_middle.framed(_table(spark, sf_dir, "documents")), "frames"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -78,5 +108,8 @@ QUERIES = {
         op8_pii,
         op9_repeats,
         op10_token_files,
+        op11_toxicity,
+        op12_fill_middle,
+        op13_hard_negatives,
     )
 }

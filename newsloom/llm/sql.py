@@ -133,6 +133,48 @@ SELECT doc_id, sum(n)::BIGINT AS n_lines, count(*) AS n_chunks, coalesce(sum(n)
 FROM flagged GROUP BY doc_id
 """
 
+FILL_MIDDLE = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents),
+dealt AS (
+  SELECT *, len(u)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+    ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM units),
+cuts AS (
+  SELECT doc_id, text, n, u, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR regexp_matches(text, '<[PSM]>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM dealt),
+parts AS (
+  SELECT doc_id, text, n, form, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM parts
+"""
+
+HARD_NEGATIVES = r"""
+WITH usable AS (
+  SELECT vec_id::BIGINT AS vec_id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END) AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+    list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+negatives AS (
+  SELECT p.*, other_id AS negative_id, score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank
+  FROM positives p JOIN scores s ON p.anchor_id = s.anchor_id AND NOT s.same
+    AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM negatives WHERE rank <= 10
+"""
+
 SQL = {
     "op1_near_duplicates": NEAR_DUPLICATES,
     "op2_line_dedup": LINES,
@@ -140,4 +182,6 @@ SQL = {
     "op5_chat_format": CHAT,
     "op6_quality": QUALITY,
     "op7_mixing": MIXING,
+    "op12_fill_middle": FILL_MIDDLE,
+    "op13_hard_negatives": HARD_NEGATIVES,
 }
