@@ -8,7 +8,8 @@ single characters joined ("i d i o t").
 The machine is a support vector machine on Nyström features, the kernel against landmark strings times
 the inverse root of the landmarks' own kernel matrix. Labels are of documents, not of pieces: examples are the
 pieces with a fragment that toxic documents share, weighted for and against by the documents of either
-class that hold them, and ordinary pieces; in each round the pieces that the machine takes for insults join.
+class that hold them, and ordinary pieces; in each round the pieces that the machine takes for insults join. Insults with a letter put in
+are examples too.
 A document's score adds up, for each of its pieces, how much more often pieces of such a value occur in
 toxic documents than in clean ones, so a long text is not toxic for one chance likeness.
 
@@ -19,6 +20,7 @@ worker while it is remembered.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -44,6 +46,7 @@ FRAGMENT = 5  # bytes of the fragments that choose the first examples
 TELLING = 20.0  # log-likelihood ratio from which a fragment speaks for toxic documents
 #: Pieces that the machine takes for insults and that join the examples in a round, at most.
 JOINING = 4000
+STRETCHED = 24  # insults that join the examples with a letter put in
 COST = 4.0
 CLEARLY = 1.0  # log ratio of rates from which a bin of values speaks for toxic documents
 EDGES = np.linspace(-1.2, 1.2, 25)  # of the bins of a piece's value
@@ -262,8 +265,20 @@ def _spread(kernel_with, count: int, want: int, weight: np.ndarray) -> list[int]
     return chosen
 
 
+def _with_insertions(examples: dict[bytes, tuple[float, float]]) -> dict[bytes, tuple[float, float]]:
+    """The examples, and the most usual clear insults with a letter put in at some places, for less weight."""
+    clear = [w for w, (toward, against) in examples.items() if toward > 10 * against and 4 <= len(w) < WINDOW]
+    out = dict(examples)
+    for word in sorted(clear, key=lambda w: (-examples[w][0], w))[:STRETCHED]:
+        for at in sorted({2, len(word) // 2, len(word) - 2}):
+            letter = bytes([97 + zlib.crc32(word + bytes([at])) % 26])
+            out.setdefault(word[:at] + letter + word[at:], (examples[word][0] / 6, 0.0))
+    return out
+
+
 def machine(examples: dict[bytes, tuple[float, float]], landmarks: int = LANDMARKS) -> Model:
     """The machine for example strings with their weights for and against being an insult."""
+    examples = _with_insertions(examples)
     words = sorted(examples)
     s, n = symbols(words)
     toward, against = np.array([examples[w] for w in words], float).T
@@ -487,9 +502,14 @@ def _evidence(counts: np.ndarray, labels: np.ndarray) -> np.ndarray:
     toxic, clean = counts[labels == 1].sum(axis=0).astype(float), counts[labels == 0].sum(axis=0).astype(float)
     n, m = max(1.0, toxic.sum()), max(1.0, clean.sum())
     ratio = lambda k, l: np.log((k + 2 * n / (n + m)) / n) - np.log((l + 2 * m / (n + m)) / m)
+    # Bins that no piece fell into go to their neighbours, halfway.
+    filled = np.flatnonzero(toxic + clean)
+    if not len(filled):
+        return np.zeros(len(toxic))
+    widths = np.diff(np.concatenate(([0], (filled[1:] + filled[:-1]) // 2 + 1, [len(toxic)])))
     pools: list[list[float]] = []  # toxic, clean, bins
-    for k, l in zip(toxic, clean):
-        pools.append([k, l, 1])
+    for k, l, width in zip(toxic[filled], clean[filled], widths.tolist()):
+        pools.append([k, l, width])
         while len(pools) > 1 and ratio(*pools[-2][:2]) > ratio(*pools[-1][:2]):
             pools[-2:] = [[a + b for a, b in zip(*pools[-2:])]]
     rest = [p for p in pools if ratio(*p[:2]) < CLEARLY]
