@@ -12,6 +12,9 @@ that succeeded, so a lost executor or a repeated task leaves nothing that is rea
 
 from __future__ import annotations
 
+import json
+import pathlib
+import re
 import uuid
 import zlib
 from functools import lru_cache
@@ -19,7 +22,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from newsloom.llm import textbytes as tb
 from newsloom.llm.tables import column, new_folder, partitions, stored
@@ -71,14 +74,40 @@ def _follows(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (_LETTER[old] & _PLAIN[now] & ~_LETTER[now]) | (_PRINTED[old] & _BLANK[now]) | ((now == 0x20) & _OPENS[next_])
 
 
+#: Pre-tokenizer, and fields of it, for which pieces() is right.
+_CUTTABLE = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+
+
+def described(path: str) -> tuple[bool, list[str], int]:
+    """(whether texts of the tokenizer may be encoded by pieces, its added tokens, its largest id)."""
+    text = pathlib.Path(path).read_text(encoding="utf-8")
+    made = json.loads(text)
+    split, model = made.get("pre_tokenizer") or {}, made.get("model") or {}
+    added = made.get("added_tokens") or []
+    cuttable = (
+        not made.get("normalizer")
+        and all(split.get(k) == v for k, v in _CUTTABLE.items())
+        and model.get("type", "BPE") == "BPE"
+        and not model.get("dropout")
+        and not any(t.get(k) for t in added for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    )
+    return cuttable, [t["content"] for t in added if t["content"]], max(*model["vocab"].values(), *[t["id"] for t in added], 0)
+
+
 class Encoder:
-    """Ids of texts. Each distinct piece is encoded once by the tokenizers library and remembered."""
+    """Ids of texts. Each distinct piece is encoded once by the tokenizers library and remembered; texts of a
+    tokenizer whose pieces depend on their surroundings are encoded whole."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        self.cuttable, added, _ = described(path)
+        self.added = None
+        if added and not special_as_text:
+            # The longest that begins first, as the library takes them.
+            self.added = re.compile(b"|".join(re.escape(t.encode()) for t in sorted(added, key=len, reverse=True)))
         self.forget()
 
     def forget(self):
@@ -92,7 +121,9 @@ class Encoder:
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, where each row's begin, with the end appended)."""
-        starts = pieces(data, offsets)
+        if not self.cuttable:
+            return self._plainly(data, offsets)
+        starts = self._starts(data, offsets)
         ends = np.append(starts[1:], len(data))
         sums, back = tb.prefix_hashes(data)
         keys, first, which = np.unique(tb.span_hashes(sums, back, starts, ends), return_index=True, return_inverse=True)
@@ -107,6 +138,27 @@ class Encoder:
         total = np.concatenate(([0], np.cumsum(n)))
         return ids, total[np.searchsorted(starts, offsets)]
 
+    def _starts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Starts of the pieces. An added token is a piece, and what lies around it is a text of its own."""
+        found = self._added(data, offsets)
+        if not len(found):
+            return pieces(data, offsets)
+        starts = pieces(data, np.unique(np.concatenate((offsets, found.ravel()))))
+        token = np.searchsorted(found[:, 0], starts, side="left") - 1
+        return starts[(token < 0) | (starts >= found[token, 1])]
+
+    def _added(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """(start, end) of each added token in a text."""
+        found, at, whole = [], 0, data.tobytes() if self.added else b""
+        while self.added and (m := self.added.search(whole, at)):
+            end = int(offsets[np.searchsorted(offsets, m.start(), side="right")])
+            if m.end() > end:  # it would run into the next text; a shorter one may fit
+                m, at = self.added.match(whole, m.start(), end), m.start() + 1
+            if m:
+                found.append(m.span())
+                at = m.end()
+        return np.array(found, np.int64).reshape(-1, 2)
+
     def _remember(self, keys: np.ndarray, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray | None:
         """Places of the pieces in the memory, after adding new ones; None if two differ under one key."""
         if len(self.keys) > REMEMBERED:
@@ -163,9 +215,9 @@ def _alike(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray, first: np.
 
 
 @lru_cache(maxsize=1)
-def encoder(path: str) -> Encoder:
+def encoder(path: str, special_as_text: bool) -> Encoder:
     """One encoder a worker, so that it keeps what it remembers from batch to batch."""
-    return Encoder(path)
+    return Encoder(path, special_as_text)
 
 
 def _filesystem(uri: str):
@@ -243,6 +295,14 @@ class Reader:
         return ids.reshape(-1, self.sequence), mask.reshape(-1, self.sequence)
 
 
+def _made(spark: SparkSession, folder: str) -> str:
+    """The folder, made where it isn't there, with the file system that Spark would take it from."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path)
+    return re.sub("^file:/+", "file:///", system.makeQualified(path).toString())
+
+
 def write(
     docs: DataFrame,
     tokenizer_path: str,
@@ -250,26 +310,26 @@ def write(
     sequence: int = SEQUENCE,
     id_col: str = "doc_id",
     text_col: str = "text",
-    vocabulary: int = 50_257,
+    special_as_text: bool = False,
     folder: str | None = None,
 ) -> DataFrame:
     """Writes the token files and returns their directory (doc_id, part, file, at, n_tokens).
 
+    Strings of the tokenizer's added tokens become those tokens wherever a text holds them, as the library's encode()
+    has it without other settings; with special_as_text they are ordinary text. Ids take 16 bits where the
+    tokenizer's all fit. A folder without a scheme is one of the cluster's default file system.
+
     Documents follow each other by ascending id, null ids first; rows that share an id in the order
     in which the table is read. A null or empty text has the end id alone. An empty table gives no
     file and an empty directory. Other columns are not looked at.
     """
     spark = docs.sparkSession
     folder = folder or new_folder(spark, "tokens")
-    kind = pa.uint16() if vocabulary <= 1 << 16 else pa.uint32()
-    uri = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
-    if uri.startswith("file://"):
-        import pathlib
-
-        pathlib.Path(uri.removeprefix("file://")).mkdir(parents=True, exist_ok=True)
+    kind = pa.uint16() if max(described(tokenizer_path)[2], end_id) < 1 << 16 else pa.uint32()
+    uri = _made(spark, folder)
 
     def run(batches):
-        encode, part, file, writer, at = encoder(tokenizer_path), TaskContext.get().partitionId(), None, None, 0
+        encode, part, file, writer, at = encoder(tokenizer_path, special_as_text), TaskContext.get().partitionId(), None, None, 0
         try:
             for batch in batches:
                 data, offsets = tb.raw(batch.column("text"))

@@ -192,7 +192,6 @@ def token_rows(docs, path, end_id=0):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     rows, at = [], 0
     for i, text in sorted(docs, key=lambda d: (d[0] is not None, d[0] or 0)):
         ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [end_id]

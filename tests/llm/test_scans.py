@@ -8,6 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from newsloom.llm import chat_format, pii, secrets, textbytes as tb, token_files
 from tests.llm import plain
@@ -189,10 +190,31 @@ def test_pieces_encode_as_the_whole():
         rng.shuffle(texts)
         data, offsets = tb.raw(pa.array(texts))
         ids, at = encode(data, offsets)
-        want = encode._encode([t or "" for t in texts])
+        plain_encode = Tokenizer.from_file(TOKENIZER).encode
+        want = [plain_encode(t or "", add_special_tokens=False).ids for t in texts]
         assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
 
 
+def test_added_tokens(spark):
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "<|endoftext", "|>", " <|endoftext|> <|endoftext|><|endoftext|>\n x", "<|endo<|endoftext|>", "plain"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = token_files.read(token_files.write(docs, TOKENIZER)).orderBy("start").collect()
+    assert [tuple(r) for r in got] == plain.token_rows(list(enumerate(texts)), TOKENIZER)
+    assert got[0].n_tokens == 4
+    as_text = token_files.read(token_files.write(docs, TOKENIZER, special_as_text=True)).orderBy("start").collect()
+    assert as_text[0].n_tokens > 4 and as_text[6] != got[6]
+
+
+def test_other_tokenizers_encode_whole_texts(spark):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert token_files.described(TOKENIZER) == (True, ["<|endoftext|>"], 50_256)
+    assert not token_files.described(path)[0]
+    rows = [(1, "Some Words,  here\n<|endoftext|>and"), (2, None), (3, prose(3, 500))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = token_files.read(token_files.write(docs, path)).orderBy("start").collect()
+    assert [tuple(r) for r in got] == plain.token_rows(rows, path)
+
+
 def test_pieces_that_share_a_hash_are_noticed(monkeypatch):
     """With a broken hash the encoder falls back to whole texts."""
     monkeypatch.setattr(tb, "span_hashes", lambda sums, back, starts, ends: (starts * 0).astype(np.uint64))
