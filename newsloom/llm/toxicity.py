@@ -407,7 +407,7 @@ def _examples(docs: DataFrame, labels: DataFrame, rows_per_class: int, id_col: s
         .agg(F.max("label").alias("label"))
     )
     dealt = F.xxhash64("id", F.lit(5))
-    chosen = top_k(known, ["label"], [dealt, F.col("id")], rows_per_class).select("id", "label")
+    chosen = top_k(known, ["label"], [dealt, F.col("id")], rows_per_class, two_rounds=True).select("id", "label")
     texts = docs.select(column(id_col).alias("id"), column(text_col).alias("text")).where("text is not null")
     found = stored(texts.join(F.broadcast(chosen), "id").withColumn("row", F.monotonically_increasing_id()), "labelled")
     n = found.count()
