@@ -23,6 +23,11 @@ def cosine(a: Column, b: Column) -> Column:
     return F.when(scale == 0, 0.0).otherwise(dot(a, b) / scale)
 
 
+def distance(a: Column, b: Column) -> Column:
+    """Euclidean distance."""
+    return F.sqrt(_sum(F.zip_with(a, b, lambda x, y: (x.cast("double") - y.cast("double")) * (x.cast("double") - y.cast("double")))))
+
+
 def l2_normalised(a: Column) -> Column:
     length = norm(a)
     return F.when(length == 0, a).otherwise(F.transform(a, lambda x: (x / length).cast("float")))
