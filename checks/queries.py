@@ -1073,6 +1073,26 @@ def _(spark, d):
     return search.ranked(corpus, t.vector_queries(spark, d)).select("query_id", "rank", "doc_id", rounded("score"))
 
 
+def _stored_keyword(spark, d):
+    root = fresh_folder(spark)
+    snapshots.save(spark, root, build.tables(t.documents(spark, d), t.vectors(spark, d), N_LISTS), "2024-03-01 00:00:00")
+    return build.corpus(snapshots.load(spark, root)).keywords
+
+
+# Over an index written and read back, passing over blocks of documents that cannot be among the best.
+_TEN_BEST = f"WITH {sql.KEYWORD} SELECT query_id, doc_id, rank, round(score, 6) AS score FROM kw WHERE rank <= 10"
+query("stored_keyword_search", _TEN_BEST)(
+    lambda spark, d: keyword.best(_stored_keyword(spark, d), t.queries(spark, d), 10, prune=True).select(
+        "query_id", "doc_id", "rank", rounded("score")
+    )
+)
+query("stored_keyword_candidates", SQL["keyword_candidate_cap"])(
+    lambda spark, d: keyword.best(_stored_keyword(spark, d), t.queries(spark, d), prune=True).select(
+        "query_id", "doc_id", "rank", rounded("score")
+    )
+)
+
+
 @query("report_file", f"SELECT line FROM ({SQL['stats_report']})")
 def _(spark, d):
     folder = fresh_folder(spark)

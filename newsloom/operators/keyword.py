@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from newsloom.functions import text as tx
 from newsloom.operators.ranking import top_k
-from newsloom.operators.sizing import fits
+from newsloom.operators.sizing import broadcast_if_small, fits
+from newsloom.session import checkpoint
 
 # The scoring constants.
 K1 = 1.2
@@ -23,6 +24,14 @@ REPEAT_BONUS = 0.1
 EPSILON = 1e-9
 MAX_CANDIDATES = 2000
 
+# Documents of a block, about, and bands of lengths.
+BLOCK_DOCS = 32
+BANDS = 64
+# The rarest words that give the first threshold occur in so many documents for each one sought.
+RARE_DEPTH = 2
+# Collections of so many documents are searched by blocks; in smaller ones more steps cost more.
+PRUNED_FROM = 1_000_000
+
 # Batches with up to so many different words filter by a list in the plan.
 SHORT_WORD_LIST = 200
 
@@ -34,12 +43,14 @@ RANK_DIGITS = 9
 @dataclass
 class KeywordIndex:
     """postings(token, doc_id, tf, dl), doc_stats(doc_id, dl), term_stats(token, df), and where
-    it is stored, the one row of corpus_stats(n_docs, avg_dl)."""
+    it is stored, the one row of corpus_stats(n_docs, avg_dl) and blocks(token, block, max_tf, min_dl,
+    parts), what a word can bring at most in a block of documents."""
 
     postings: DataFrame
     doc_stats: DataFrame
     term_stats: DataFrame
     stored_corpus_stats: DataFrame | None = None
+    blocks: DataFrame | None = None
 
     def corpus_stats(self) -> DataFrame:
         if self.stored_corpus_stats is not None:
@@ -93,8 +104,74 @@ def query_terms(queries: DataFrame) -> DataFrame:
     )
 
 
+def block_of(doc_id: Column, dl: Column, parts: Column) -> Column:
+    """A document's block: documents of like length, where a word weighs alike, dealt out to parts."""
+    band = F.least(F.floor(2 * F.log2(dl + 1)), F.lit(BANDS - 1)).cast("long")
+    return F.pmod(F.xxhash64(doc_id), parts.cast("long")) * BANDS + band
+
+
+def block_parts(n_docs: int) -> int:
+    """Parts of a collection; the documents of one fall into about eight bands of lengths."""
+    return max(1, n_docs // (8 * BLOCK_DOCS))
+
+
+def blocks(postings: DataFrame, parts: Column) -> DataFrame:
+    """The largest count and the least length among the documents of a block that hold a word. Rows
+    of a block may repeat, as they do after updates; rows of documents that are gone do no harm."""
+    block = block_of(F.col("doc_id"), F.col("dl"), parts).alias("block")
+    found = postings.select("token", block, "tf", "dl").groupBy("token", "block")
+    return found.agg(F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl")).withColumn("parts", parts.cast("int"))
+
+
+def saturation(tf: Column, dl: Column, avg_dl: Column, k1: float = K1, b: float = B) -> Column:
+    """What a word's count is worth in a document; grows with tf, falls with dl."""
+    denominator = tf + k1 * (1 - b + b * (dl / (avg_dl + EPSILON)))
+    return tf * (k1 + 1) / (denominator + EPSILON)
+
+
 def scores(index: KeywordIndex, queries: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
     """(query_id, doc_id, score) of every document sharing a word with a query."""
+    weighted, asked_for, hint = _weighted(index, queries)
+    return _scored(asked_for(index.postings).join(hint(weighted), "token"), k1, b)
+
+
+def _scored(matches: DataFrame, k1: float, b: float) -> DataFrame:
+    value = F.col("weight") * saturation(F.col("tf"), F.col("dl"), F.col("avg_dl"), k1, b)
+    return matches.groupBy("query_id", "doc_id").agg(F.sum(value).alias("score"))
+
+
+def pruned_scores(index: KeywordIndex, queries: DataFrame, k: int, k1: float = K1, b: float = B) -> DataFrame:
+    """Rows of scores() that hold at least the k best of each query, ties with the k-th included.
+
+    A query's rarest words alone give k documents a score that the k-th best must reach. A block of documents in
+    which all words of the query together cannot bring as much is passed over; every document of the other
+    blocks is scored in full. Needs the index's blocks.
+    """
+    weighted, asked_for, hint = _weighted(index, queries)
+    weighted = checkpoint(weighted)
+    before = W.partitionBy("query_id").orderBy("df", "token").rowsBetween(W.unboundedPreceding, -1)
+    seen = F.coalesce(F.sum("df").over(before), F.lit(0))
+    rare = weighted.withColumn("_seen", seen).where(F.col("_seen") < RARE_DEPTH * k).drop("_seen")
+    first = top_k(_scored(asked_for(index.postings).join(hint(rare), "token"), k1, b), ["query_id"], by_score(), k, two_rounds=True)
+    reached = first.where(F.col("rank") == k).select("query_id", F.col("score").alias("least"))
+
+    bounds = asked_for(index.blocks.select("token", "block", "max_tf", "min_dl"))
+    bounds = bounds.groupBy("token", "block").agg(F.max("max_tf").alias("tf"), F.min("min_dl").alias("dl"))
+    value = F.col("weight") * saturation(F.col("tf"), F.col("dl"), F.col("avg_dl"), k1, b)
+    most = bounds.join(hint(weighted), "token").groupBy("query_id", "block").agg(F.sum(value).alias("most"))
+    # Sums that arrive in another order differ in the last digits, and ranks look at RANK_DIGITS.
+    reaches = F.col("least").isNull() | (F.col("most") * (1 + EPSILON) + 2 * 10.0**-RANK_DIGITS >= F.col("least"))
+    open_blocks = checkpoint(most.join(reached, "query_id", "left").where(reaches).select("query_id", "block"))
+
+    parts = index.blocks.select("parts").limit(1).scalar()
+    matches = asked_for(index.postings).withColumn("block", block_of(F.col("doc_id"), F.col("dl"), parts))
+    matches = matches.join(hint(weighted), "token").join(broadcast_if_small(open_blocks), ["query_id", "block"], "left_semi")
+    return _scored(matches, k1, b)
+
+
+def _weighted(index: KeywordIndex, queries: DataFrame):
+    """(query_id, token, df, weight, avg_dl) of the queries' words that the index holds; the filter on the words
+    of the batch; and a hint for joins with the words, by their counted size."""
     terms = query_terms(queries)
     # The weighted terms have the rows of the terms, so one check covers both.
     hint = F.broadcast if fits(terms) else (lambda side: side)
@@ -106,18 +183,11 @@ def scores(index: KeywordIndex, queries: DataFrame, k1: float = K1, b: float = B
     weighted = terms.join(df, "token").select(
         "query_id",
         "token",
+        "df",
         (idf * (1.0 + REPEAT_BONUS * (F.col("qcnt") - 1))).alias("weight"),
         corpus.getField("avg_dl").alias("avg_dl"),
     )
-    relative_length = F.col("dl") / (F.col("avg_dl") + EPSILON)
-    denominator = F.col("tf") + k1 * (1 - b + b * relative_length)
-    saturation = F.col("tf") * (k1 + 1) / (denominator + EPSILON)
-    return (
-        asked_for(index.postings)
-        .join(hint(weighted), "token")
-        .groupBy("query_id", "doc_id")
-        .agg(F.sum(F.col("weight") * saturation).alias("score"))
-    )
+    return weighted, asked_for, hint
 
 
 def _asked_for(words: DataFrame):
@@ -134,6 +204,15 @@ def by_score(score: str = "score", doc: str = "doc_id") -> list[Column]:
     return [F.round(score, RANK_DIGITS).desc(), F.col(doc).asc()]
 
 
+def best(index: KeywordIndex, queries: DataFrame, k: int = MAX_CANDIDATES, prune: bool | None = None) -> DataFrame:
+    """(query_id, doc_id, score, rank) of the k best documents of each query. prune says whether blocks of documents
+    are passed over where the index has any; by default in collections of PRUNED_FROM documents or more."""
+    if prune is None:
+        prune = index.blocks is not None and (index.corpus_stats().first().n_docs or 0) >= PRUNED_FROM
+    found = pruned_scores(index, queries, k) if prune else scores(index, queries)
+    return candidates(found, k)
+
+
 def candidates(scored: DataFrame, k: int = MAX_CANDIDATES) -> DataFrame:
     """The k best documents of each query."""
     return top_k(scored, ["query_id"], by_score(), k, two_rounds=True)
@@ -141,4 +220,4 @@ def candidates(scored: DataFrame, k: int = MAX_CANDIDATES) -> DataFrame:
 
 def search(index: KeywordIndex, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, doc_id, score, rank) of the k best documents of each query."""
-    return top_k(scores(index, queries), ["query_id"], by_score(), k)
+    return best(index, queries, k)
