@@ -1051,8 +1051,9 @@ def _(spark, d):
     root = fresh_folder(spark)
     snapshots.save(spark, root, build.tables(t.documents(spark, d), t.vectors(spark, d), N_LISTS), "2024-03-01 00:00:00")
     rows = None
-    for name, df in snapshots.load(spark, root).items():
-        row = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
+    stored = snapshots.load(spark, root)
+    for name in ("articles", "embeddings", "lists", "centroids", "postings", "doc_stats", "term_stats", "corpus_stats"):
+        row = stored[name].agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n")
         rows = row if rows is None else rows.unionByName(row)
     return rows
 
@@ -1075,8 +1076,8 @@ def _(spark, d):
 
 def _stored_keyword(spark, d):
     root = fresh_folder(spark)
-    snapshots.save(spark, root, build.tables(t.documents(spark, d), t.vectors(spark, d), N_LISTS), "2024-03-01 00:00:00")
-    return build.corpus(snapshots.load(spark, root)).keywords
+    snapshots.save(spark, root, build.word_tables(t.documents(spark, d)), "2024-03-01 00:00:00")
+    return build.words(snapshots.load(spark, root))
 
 
 # Over an index written and read back, passing over blocks of documents that cannot be among the best.

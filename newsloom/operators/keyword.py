@@ -66,6 +66,16 @@ def corpus_stats(doc_stats: DataFrame) -> DataFrame:
     )
 
 
+def moved_stats(before: DataFrame, removed: DataFrame, added: DataFrame) -> DataFrame:
+    """corpus_stats after documents went and came: before is its row so far, removed and added are
+    doc_stats. Lengths are whole numbers, so their sum comes back from the mean."""
+    went, came = (d.agg(F.struct(F.count("*").alias("n"), F.coalesce(F.sum("dl"), F.lit(0)).alias("dl"))).scalar() for d in (removed, added))
+    n = F.col("n_docs") - went["n"] + came["n"]
+    words = F.round(F.col("n_docs") * F.col("avg_dl")) - went["dl"] + came["dl"]
+    mean = F.when(n > 0, words / n).otherwise(0.0)
+    return before.select(n.alias("n_docs"), mean.alias("avg_dl"))
+
+
 def build(articles: DataFrame, body: Column | None = None) -> KeywordIndex:
     """Index of articles(id, title, summary), or of one text expression given as body."""
     if body is None:
