@@ -58,8 +58,11 @@ def targets(sources: DataFrame, budget: Column, max_epochs: int) -> DataFrame:
     )
 
 
-def _order(id_col: Column, seed: int) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit(""))).cast("binary"))
+def _order(id_col: Column, text: Column, seed: int) -> Column:
+    """The place of a row in the seeded order: by its id, without one by its text, so that rows without an id
+    are not taken as one block."""
+    own = F.concat(F.lit("text:"), F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), own)).cast("binary"))
 
 
 def planned(
@@ -78,11 +81,12 @@ def planned(
     share: words of the mix as a fraction of all words. A null text has size 0, a null source is a
     source of its own, at the last place. Documents of a source are taken copies = whole passes
     times, and once more in the order of md5(seed:id) while half of the document still lies below
-    the rest of the target; rows that share an id are taken alike. Nothing is taken twice more than
-    another, and never more than max_epochs times. An empty table gives an empty table.
+    the rest of the target; rows that share an id are taken alike, rows without one by their text. Nothing
+    is taken twice more than another, and never more than max_epochs times. An empty table gives an
+    empty table.
     """
     mix, size, key, rule = (free_name(docs, c) for c in ("_mix", "_size", "_order", "_rule"))
-    sized = docs.withColumns({size: n_words(column(text_col)), key: _order(column(id_col), seed)})
+    sized = docs.withColumns({size: n_words(column(text_col)), key: _order(column(id_col), column(text_col), seed)})
     slim = stored(
         sized.select(
             column(source_col).alias("source"),

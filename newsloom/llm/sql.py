@@ -93,7 +93,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 MIXING = r"""
 WITH sizes AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5('7:' || coalesce(doc_id::VARCHAR, '')) AS k
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, md5('7:' || coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, '')))) AS k
   FROM documents),
 sources AS (
   SELECT source, sum(size)::BIGINT AS size, [3, 1, 2][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight FROM sizes GROUP BY source),

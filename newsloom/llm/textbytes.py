@@ -3,6 +3,7 @@ object for each word."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,8 @@ import pyarrow as pa
 
 #: Bytes of text that are worked on at once, at least one row; each takes about 80 bytes of arrays.
 SLICE_BYTES = 2 << 20
+#: Bytes from which a word is hashed by itself.
+LONG_WORD = 256
 
 _MASK = (1 << 64) - 1
 
@@ -117,4 +120,9 @@ def words(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray) -> tuple[np.n
     low = LOWER[data]
     starts, ends = spans(kind[low], offsets)
     sums, back = prefix_hashes(low)
-    return span_hashes(sums, back, starts, ends), np.searchsorted(starts, offsets)
+    hashes = span_hashes(sums, back, starts, ends)
+    # A sum modulo 2**64 is the same for some long strings that differ; so few words are long that they take
+    # another hash.
+    for i in np.flatnonzero(ends - starts >= LONG_WORD).tolist():
+        hashes[i] = int.from_bytes(hashlib.blake2b(low[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return hashes, np.searchsorted(starts, offsets)

@@ -250,3 +250,36 @@ def test_words_and_hashes():
         assert np.diff(first).tolist() == [len(w) for w in want]
         flat = [w for ws in want for w in ws]
         assert len(set(hashes.tolist())) == len(set(flat))
+
+
+def thue_morse(n):
+    word = "a"
+    while len(word) < n:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word
+
+
+def test_long_words_that_differ(spark):
+    """Thue–Morse words and their complements, whose polynomial hashes are equal modulo 2**64."""
+    import pyarrow as pa
+
+    from newsloom.llm import textbytes as tb
+
+    rows = []
+    for i, n in enumerate((256, 1024, 2048, 4096)):
+        word = thue_morse(n)
+        rows += [(10 * i, word), (10 * i + 1, word.translate(str.maketrans("ab", "ba")))]
+    data, offsets = tb.raw(pa.array([t for _, t in rows]))
+    assert len(set(tb.words(data, offsets, tb.SPACED)[0].tolist())) == len(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(r.kept for r in near_dedup.near_duplicates(docs).collect())
+    items = docs.where("doc_id % 10 = 0").select(F.col("doc_id").alias("item_id"), "text")
+    found = {r.doc_id: r.contaminated for r in decontaminate.contamination(docs, items).collect()}
+    assert found == {i: i % 10 == 0 for i, _ in rows}
+
+
+def test_rows_without_an_id_come_near_their_target(spark):
+    rows = [(None if i % 10 else i, prose(i, 5 + i % 40), f"s{i % 3}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for r in mixing.mixed(docs, weights=[3, 1, 2]).groupBy("source").agg(F.first("target").alias("target"), F.sum(F.col("size") * F.col("copies")).alias("taken")).collect():
+        assert abs(r.taken - r.target) <= 45
