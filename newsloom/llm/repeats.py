@@ -7,9 +7,13 @@ neighbouring windows with one anchor is a context; contexts are dealt out by the
 
 Equal contexts are folded first, in the task that reads them and again where they meet: all but the
 earliest are repeats as a whole. Only where an anchor has several different contexts can some of their
-windows be equal. These contexts are fetched from the texts and, bucket by bucket, a run-length
-Burrows-Wheeler index is built over them; every context streams its matching statistics against it,
-and a window whose match is long enough and begins earlier is a repeat.
+windows be equal. These contexts are fetched from the texts and each is cut in two: windows with half of
+their other bytes or more before the anchor, and the rest. Equal windows are in the same half, and agree in
+its core: the anchor with the bytes before it, or behind it, that all windows of the half have. Halves are
+dealt out by their cores, so an anchor with many surroundings does not stay in one task, and a half whose
+core no other has is done. Over the different ones left, bucket by bucket, a run-length Burrows-Wheeler
+index is built; each streams its matching statistics against it, and a window whose match is long enough
+and begins earlier is a repeat.
 """
 
 from __future__ import annotations
@@ -26,9 +30,11 @@ from newsloom.llm.tables import column, keyed, stored
 
 GRAM = 32
 _GRAMS = LENGTH - GRAM + 1  # in a window
-#: Bytes of text for each bucket, and contexts that a task folds at once.
+_HALF = (LENGTH - GRAM) // 2  # bytes before the anchor from which a window is in the first half
+#: Bytes of text for each bucket, contexts that a task folds at once, and contexts cut at once.
 BUCKET_BYTES = 16 << 20
 FOLD = 1_000_000
+CUT = 1 << 14
 _CHUNK = 1 << 22  # windows of one text worked on at once; places in a chunk fit 24 bits
 _LOW = np.uint64(0xFFFFFF)
 
@@ -46,12 +52,13 @@ def _sliding_smallest(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def contexts(data: np.ndarray, offsets: np.ndarray):
-    """(row, first window, number of windows, anchor hash, context hash) of all contexts."""
+    """(row, first window, number of windows, bytes from there to the anchor, anchor hash, context hash) of
+    all contexts."""
     if len(data) > _CHUNK + LENGTH and len(offsets) == 2:
         for at in range(0, len(data) - LENGTH + 1, _CHUNK):
             piece = data[at : at + _CHUNK + LENGTH - 1]
-            for row, first, n, anchor, whole in contexts(piece, np.array([0, len(piece)])):
-                yield row, first + at, n, anchor, whole
+            for row, first, *more in contexts(piece, np.array([0, len(piece)])):
+                yield row, first + at, *more
         return
     if len(data) < LENGTH:
         return
@@ -72,10 +79,10 @@ def contexts(data: np.ndarray, offsets: np.ndarray):
     first, stop = first[kept], stop[kept]
     row = np.searchsorted(offsets, first, side="right") - 1
     whole = tb.span_hashes(sums, back, first, stop + LENGTH - 1)
-    yield row, first - offsets[row], stop - first, grams[at[first]], whole
+    yield row, first - offsets[row], stop - first, at[first] - first, grams[at[first]], whole
 
 
-_CONTEXT = np.dtype([("anchor", "<u8"), ("whole", "<u8"), ("doc", "<i8"), ("first", "<u4"), ("n", "u1")])
+_CONTEXT = np.dtype([("anchor", "<u8"), ("whole", "<u8"), ("doc", "<i8"), ("first", "<u4"), ("n", "u1"), ("lead", "u1")])
 _SPAN = np.dtype([("doc", "<i8"), ("start", "<u4"), ("end", "<u4")])
 
 
@@ -83,13 +90,18 @@ def _earliest(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(earliest of equal contexts, later ones), of contexts in any order."""
     if not len(found):
         return found, found
-    order = np.lexsort((found["first"], found["doc"], found["whole"], found["anchor"]))
-    found = found[order]
+    order = np.argsort(found["whole"])
+    whole = found["whole"][order]
+    same = np.zeros(len(whole) + 1, bool)
+    same[1:-1] = whole[1:] == whole[:-1]
+    several = same[1:] | same[:-1]
+    alone, found = found[order[~several]], found[order[several]]
+    found = found[np.lexsort((found["first"], found["doc"], found["whole"], found["anchor"]))]
     new = np.ones(len(found), bool)
     new[1:] = (found["whole"][1:] != found["whole"][:-1]) | (found["anchor"][1:] != found["anchor"][:-1])
     lead = found[np.flatnonzero(new)[np.cumsum(new) - 1]]
     later = (found["doc"] != lead["doc"]) | (found["first"] != lead["first"])
-    return found[new], found[later]
+    return np.concatenate((alone, found[new])), found[later]
 
 
 def _spans(found: np.ndarray) -> np.ndarray:
@@ -147,10 +159,10 @@ def _read(docs: DataFrame, buckets: int) -> DataFrame:
             data, offsets = tb.raw(batch.column("text"))
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             for at, piece, bounds in tb.sliced(data, offsets):
-                for row, first, count, anchor, whole in contexts(piece, bounds):
+                for row, first, count, lead, anchor, whole in contexts(piece, bounds):
                     found = np.zeros(len(row), _CONTEXT)
                     found["anchor"], found["whole"], found["doc"] = anchor, whole, ids[at + row]
-                    found["first"], found["n"] = first, count
+                    found["first"], found["n"], found["lead"] = first, count, lead
                     held.append(found)
                     n += len(found)
                     if n >= FOLD:
@@ -178,6 +190,7 @@ def _met(table):
     same = np.zeros(len(anchor) + 1, bool)
     same[1:-1] = anchor[1:] == anchor[:-1]
     first, later = _earliest(found[order[same[1:] | same[:-1]]])
+    first = first[np.argsort(first["anchor"])]
     anchor = first["anchor"]
     same = np.zeros(len(anchor) + 1, bool)
     same[1:-1] = anchor[1:] == anchor[:-1]
@@ -192,53 +205,101 @@ def _met(table):
     )
 
 
-_TEXTS = np.dtype([("anchor", "<u8"), ("doc", "<i8"), ("first", "<u4"), ("size", "<u4")])
+_TEXTS = np.dtype([("core", "<u8"), ("doc", "<i8"), ("first", "<u4"), ("size", "<u4")])
+
+
+def halves(found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(index of the context, first byte, end, start of the core) of the halves of contexts, bytes counted
+    from the document's first one. The core of a first half has _HALF bytes before the anchor, that of a second the
+    more bytes behind it; all windows of the half have them."""
+    first, n, lead = (found[c].astype(np.int64) for c in ("first", "n", "lead"))
+    before = np.clip(lead - _HALF + 1, 0, n)
+    a, b = np.flatnonzero(before), np.flatnonzero(before < n)
+    start = np.concatenate((first[a], first[b] + before[b]))
+    end = np.concatenate((first[a] + before[a], first[b] + n[b])) + LENGTH - 1
+    core = np.concatenate((first[a] + lead[a] - _HALF, first[b] + lead[b]))
+    return np.concatenate((a, b)), start, end, core
+
+
+_CORE = GRAM + _HALF
 
 
 def _fetched(buckets: int):
-    """From rows (id, text, contexts): rows (bucket, places, bytes) of contexts with their bytes."""
+    """From rows (id, text, contexts): rows (bucket, places, bytes) of halves of contexts with their bytes."""
+
+    def cut(data, offsets, found, row):
+        sums, back = tb.prefix_hashes(data)
+        for at in range(0, len(found), CUT):
+            part, base = found[at : at + CUT], offsets[row[at : at + CUT]]
+            which, start, end, core = halves(part)
+            base = base[which]
+            places = np.zeros(len(which), _TEXTS)
+            places["core"] = tb.span_hashes(sums, back, base + core, base + core + _CORE)
+            places["doc"], places["first"], places["size"] = part["doc"][which], start, end - start
+            to = (tb.mix(places["core"]) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            to, places, begin = to[order], places[order], (base + start)[order]
+            edges = np.flatnonzero(np.concatenate(([True], to[1:] != to[:-1], [True])))
+            size = places["size"].astype(np.int64)
+            before = np.cumsum(size) - size
+            body = data[np.repeat(begin - before, size) + np.arange(size.sum())].tobytes()
+            before = np.append(before, len(body))
+            cells = [places[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])]
+            bodies = [body[before[a] : before[b]] for a, b in zip(edges[:-1], edges[1:])]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(to[edges[:-1]], pa.int32()), pa.array(cells, pa.binary()), pa.array(bodies, pa.binary())],
+                ["bucket", "places", "bytes"],
+            )
 
     def run(batches):
         for batch in batches:
-            for text, cells in zip(batch.column("text"), batch.column("contexts")):
-                whole = text.as_buffer().to_pybytes() if text.is_valid else b""
-                found = np.concatenate([np.frombuffer(c.as_buffer(), _CONTEXT) for c in cells])
-                places = np.zeros(len(found), _TEXTS)
-                places["anchor"], places["doc"], places["first"] = found["anchor"], found["doc"], found["first"]
-                places["size"] = found["n"].astype(np.uint32) + LENGTH - 1
-                to = (tb.mix(found["anchor"] + np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
-                for bucket in np.unique(to).tolist():
-                    mine = places[to == bucket]
-                    body = b"".join(whole[p["first"] : p["first"] + p["size"]] for p in mine)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([bucket], pa.int32()), pa.array([mine.tobytes()], pa.binary()), pa.array([body], pa.binary())],
-                        ["bucket", "places", "bytes"],
-                    )
+            data, offsets = tb.raw(batch.column("text"))
+            held = [np.concatenate([np.frombuffer(c.as_buffer(), _CONTEXT) for c in cells]) for cells in batch.column("contexts")]
+            for at, piece, bounds in tb.sliced(data, offsets):
+                here = held[at : at + len(bounds) - 1]
+                yield from cut(piece, bounds, np.concatenate(here), np.repeat(np.arange(len(here)), [len(h) for h in here]))
 
     return run
 
 
+def _shared_cores(places: np.ndarray) -> np.ndarray:
+    """Which places have a core that others have too."""
+    _, which, counts = np.unique(places["core"], return_inverse=True, return_counts=True)
+    return counts[which] > 1
+
+
 def _matched(table):
-    """Spans of the bucket's contexts that begin earlier too, by document."""
+    """Spans of the bucket's halves of contexts that begin earlier too, by document."""
     cells = [np.frombuffer(c.as_buffer(), _TEXTS) for c in table.column("places")]
     body = b"".join(c.as_buffer().to_pybytes() for c in table.column("bytes"))
     places = np.concatenate([np.zeros(0, _TEXTS), *cells])
     ends = np.cumsum(places["size"].astype(np.int64))
+    kept = _shared_cores(places)
+    places, ends = places[kept], ends[kept]
     order = np.lexsort((places["first"], places["doc"]))
+    again = (places["doc"][order[1:]] == places["doc"][order[:-1]]) & (places["first"][order[1:]] == places["first"][order[:-1]])
+    order = order[np.concatenate((np.ones(min(len(order), 1), bool), ~again))]  # a row of the table may be there twice
     places, ends = places[order], ends[order]
     texts = [body[e - n : e] for e, n in zip(ends.tolist(), places["size"].tolist())]
-    doc, start, end = [], [], []
-    for place, flags in zip(places, repeated_windows(texts)):
+    del body
+    # Of equal halves all but the earliest are repeats as a whole.
+    known = set()
+    new = np.array([not (t in known or known.add(t)) for t in texts], bool)
+    whole = places[~new]
+    doc, start, end = [whole["doc"]], [whole["first"].astype(np.int64)], [whole["first"].astype(np.int64) + whole["size"]]
+    kept = np.flatnonzero(new)
+    kept = kept[_shared_cores(places[kept])]
+    for place, flags in zip(places[kept], repeated_windows([texts[i] for i in kept.tolist()])):
         edge = np.flatnonzero(np.diff(np.concatenate(([False], flags, [False])).astype(np.int8)))
         if len(edge):
             doc.append(np.full(len(edge) // 2, place["doc"]))
             start.append(int(place["first"]) + edge[::2])
             end.append(int(place["first"]) + edge[1::2] + LENGTH - 1)
-    if not doc:
-        return pa.table({"id": pa.array([], pa.int64()), "spans": pa.array([], pa.binary())})
-    spans = merged(*(np.concatenate(x) for x in (doc, start, end)))
+    doc, start, end = (np.concatenate(x) for x in (doc, start, end))
+    order = np.lexsort((start, doc))
+    spans = merged(doc[order], start[order], end[order])
     ids = np.unique(spans["doc"])
-    cells = [p.tobytes() for p in np.split(spans, np.searchsorted(spans["doc"], ids[1:]))]
+    cells = [p.tobytes() for p in np.split(spans, np.searchsorted(spans["doc"], ids[1:]))] if len(ids) else []
     return pa.table({"id": pa.array(ids, pa.int64()), "spans": pa.array(cells, pa.binary())})
 
 

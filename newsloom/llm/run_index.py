@@ -15,13 +15,28 @@ import numpy as np
 DEPTH = 100
 #: Stands before, between and after the texts; no UTF-8 text has it.
 SEPARATOR = 0xFF
+_WORDS = -(-DEPTH // 8)
 
 
-def _ranks(keys: np.ndarray) -> np.ndarray:
-    order = np.argsort(keys, kind="stable")
-    found = keys[order]
-    rank = np.empty(len(keys), np.int64)
-    rank[order] = np.cumsum(np.concatenate(([0], found[1:] != found[:-1])))
+_LOW = np.uint64(0xFFFFFFFF)
+_HIGH = np.uint64(32)
+
+
+def _places(rank: np.ndarray, sequence: np.ndarray) -> np.ndarray:
+    """The sequence sorted by rank; equal ranks keep their order."""
+    keys = (rank[sequence].astype(np.uint64) << _HIGH) | np.arange(len(sequence), dtype=np.uint64)
+    keys.sort()
+    return sequence[(keys & _LOW).astype(np.int64)]
+
+
+def _ranked(places: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """Rank of each place by keys that places are sorted by."""
+    new = np.zeros(len(places), bool)
+    for key in keys:
+        found = key[places]
+        new[1:] |= found[1:] != found[:-1]
+    rank = np.empty(len(places), np.int64)
+    rank[places] = np.cumsum(new)
     return rank
 
 
@@ -33,16 +48,19 @@ def _shifted(rank: np.ndarray, by: int) -> np.ndarray:
 
 
 def depth_ranks(text: np.ndarray) -> np.ndarray:
-    """Rank of each suffix by its first DEPTH bytes; equal ranks for equal bytes."""
+    """Rank of each suffix by its first DEPTH bytes; equal ranks for equal bytes. Suffixes sorted so far,
+    moved back, are in the order of what follows; a sort by the rank before completes it."""
     n = len(text)
-    padded = np.concatenate((text, np.zeros(8, np.uint8))).astype(np.uint64)
-    first = np.zeros(n, np.uint64)
-    for k in range(8):
-        first = (first << np.uint64(8)) | padded[k : k + n]
-    rank, size = _ranks(first), 8
+    padded = np.concatenate((text, np.zeros(4, np.uint8))).astype(np.int64)
+    first = np.zeros(n, np.int64)
+    for k in range(4):
+        first = (first << 8) | padded[k : k + n]
+    places = _places(first, np.arange(n))
+    rank, size = _ranked(places, first), 4
     while size < DEPTH:
         by = min(size, DEPTH - size)
-        rank = _ranks(rank * (n + 1) + _shifted(rank, by))
+        places = _places(rank, np.concatenate((np.arange(max(n - by, 0), n), places[places >= by] - by)))
+        rank = _ranked(places, rank, _shifted(rank, by))
         size += by
     return rank
 
@@ -51,9 +69,11 @@ class RunIndex:
     """text: bytes that begin with a separator."""
 
     def __init__(self, text: np.ndarray):
-        self.text = np.concatenate((text, np.full(DEPTH, SEPARATOR, np.uint8)))
+        self.size = len(text)
+        held = np.concatenate((text, np.full(DEPTH + _WORDS * 8, SEPARATOR, np.uint8)))
+        self.words = np.ndarray(self.size + DEPTH, ">u8", held, strides=(1,))  # the 8 bytes from each place on
         rank = depth_ranks(text)
-        places = np.argsort(rank, kind="stable")
+        places = _places(rank, np.arange(self.size))
         last = text[places - 1]
         starts = np.flatnonzero(np.concatenate(([True], last[1:] != last[:-1])))
         ends = np.append(starts[1:], len(text)) - 1
@@ -73,10 +93,17 @@ class RunIndex:
 
     def _shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Equal bytes from places a and b on, DEPTH at most."""
-        steps = np.arange(DEPTH)
-        edge = len(self.text) - 1
-        differ = self.text[np.minimum(a[:, None] + steps, edge)] != self.text[np.minimum(b[:, None] + steps, edge)]
-        return np.where(differ.any(axis=1), differ.argmax(axis=1), DEPTH)
+        shared = np.full(len(a), DEPTH, np.int64)
+        open_ = np.arange(len(a))
+        for word in range(_WORDS):
+            differ = (self.words[a[open_] + 8 * word] ^ self.words[b[open_] + 8 * word]).astype(np.uint64)
+            ended = differ != 0
+            equal = 8 * word + sum((differ[ended] < np.uint64(1 << bits)).astype(np.int64) for bits in range(8, 64, 8))
+            shared[open_[ended]] = np.minimum(equal, DEPTH)
+            open_ = open_[~ended]
+            if not len(open_):
+                break
+        return shared
 
     def stream(self, starts: np.ndarray, lengths: np.ndarray, queries: np.ndarray):
         """Matching statistics of the queries (bytes from starts on, so long), from their ends. Yields
@@ -103,7 +130,7 @@ class RunIndex:
                 up = np.where(has_above, np.minimum(self._shared(here, self.last[above]), grown), -1)
                 go_up = up > down
                 run[miss] = np.where(go_up, above, below)
-                ends = np.append(self.start[1:], len(self.text) - DEPTH) - 1
+                ends = np.append(self.start[1:], self.size) - 1
                 row[miss] = np.where(go_up, ends[above], self.start[below])
                 size[miss] = np.maximum(up, down)
             known = size[:m] >= 0

@@ -1,6 +1,7 @@
 """Near duplicates, decontamination, quality rules, mixing and repeats on edge cases."""
 
 import math
+import random
 import re
 from collections import defaultdict
 
@@ -198,6 +199,34 @@ def test_repeats_of_shifted_passages(spark, monkeypatch):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == plain.kept_bytes(rows)
 
 
+def test_repeats_around_a_frequent_phrase(spark, monkeypatch):
+    """A phrase with other bytes on one side or both in most documents, cut a few contexts at a time."""
+    monkeypatch.setattr(repeats, "CUT", 7)
+    rng = random.Random(4)
+    letters = lambda n: "".join(rng.choices("abcdefghij ", k=n))
+    phrase, before, behind = letters(40), [letters(70) for _ in range(3)], [letters(70) for _ in range(3)]
+    rows = []
+    for i in range(120):
+        left = letters(20) + before[i % 3][rng.randrange(70) :] if i % 4 else letters(70)
+        right = behind[i % 5 % 3][: rng.randrange(70)] + letters(20) if i % 3 else letters(70)
+        rows.append((i, left + phrase + right + (phrase + right[:66] if i % 7 == 0 else "")))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = repeats.without_repeats(docs).collect()
+    want = plain.kept_bytes(rows)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == want
+    assert 20 < sum(r.n_removed > 0 for r in found) < 120
+
+    data = np.frombuffer("".join(text for _, text in rows).encode(), np.uint8)
+    parts = list(repeats.contexts(data, np.cumsum([0, *(len(text) for _, text in rows)])))
+    contexts = np.zeros(sum(len(p[0]) for p in parts), repeats._CONTEXT)
+    for name, k in (("first", 1), ("n", 2), ("lead", 3)):
+        contexts[name] = np.concatenate([p[k] for p in parts])
+    which, start, end, core = repeats.halves(contexts)
+    assert ((start <= core) & (core + repeats._CORE <= end)).all()
+    windows = np.bincount(which, end - start - repeats.LENGTH + 1)
+    assert (windows == contexts["n"]).all()
+
+
 def test_rows_without_an_id_and_ids_with_several_texts(spark):
     """Each is a document of its own: nothing unique of it goes, what repeats does."""
     passage = "\n".join(prose(700 + k, 6) for k in range(30))
