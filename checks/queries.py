@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from checks import sql, tables as t
 from newsloom import configure
 from newsloom.functions import dates, rules, text as tx, vectors as vec
-from newsloom.operators import codes, compare, dedup, embed, fusion, ivf, keyword, knn, merge, stats
+from newsloom.operators import codes, compare, dedup, embed, fusion, ivf, keyword, knn, merge, rule_table, stats
 from newsloom.plans import build, ingest, search
 from newsloom.session import shared_dir
-from newsloom.sources import feeds, json_articles, snapshots
+from newsloom.sources import feeds, json_articles, matrices, snapshots
 from newsloom.streaming import articles as streaming
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -774,6 +774,29 @@ query(
 )
 
 
+_URL_PATTERN = "split_part(url, '/', 3) || '/' || left(split_part(url, '/', 4), 3)"
+query(
+    "classify_urls_by_table",
+    f"""WITH rules AS (
+  SELECT -page_id AS priority, 'rule ' || page_id AS label,
+         CASE WHEN page_id % 3 = 0 THEN upper({_URL_PATTERN}) ELSE {_URL_PATTERN} END AS pattern FROM pages
+)
+SELECT page_id, coalesce(arg_min(label, priority), 'other') AS kind FROM pages LEFT JOIN rules ON contains(url, pattern) GROUP BY page_id""",
+)(lambda spark, d: classified_by_table(spark, d))
+
+
+def classified_by_table(spark, d):
+    """A rule for each page, the later page's first; every third is in upper case and finds nothing."""
+    pages = t.table(spark, d, "pages")
+    pattern = F.expr(_URL_PATTERN)
+    rows = pages.select(
+        (-F.col("page_id")).alias("priority"),
+        F.when(F.col("page_id") % 3 == 0, F.upper(pattern)).otherwise(pattern).alias("pattern"),
+        F.concat(F.lit("rule "), F.col("page_id").cast("string")).alias("label"),
+    )
+    return pages.select("page_id", rule_table.first_match(F.col("url"), rows, F.lit("other"), case_rules=0).alias("kind"))
+
+
 def routing_queries(spark, d):
     line, source = F.col("title"), F.col("source")
     asked = (
@@ -1165,6 +1188,25 @@ query("json_list_read", _JSON_READ)(lambda spark, d: json_read(spark, d, False))
 query("json_wrapped_read", _JSON_READ)(lambda spark, d: json_read(spark, d, True))
 
 
+@query(
+    "matrix_round_trip",
+    """SELECT row_number() OVER (ORDER BY vec_id) - 1 AS id, len(embedding) AS width, embedding[1]::DOUBLE AS first_value,
+  embedding[len(embedding)]::DOUBLE AS last_value FROM embeddings WHERE embedding IS NOT NULL""",
+)
+def _(spark, d):
+    """The vectors written as a matrix of several files and read again in ranges of rows."""
+    folder = f"{fresh_folder(spark)}/matrix"
+    vectors = t.table(spark, d, "embeddings").where("embedding is not null")
+    matrices.write(vectors, folder, "vec_id", rows_per_file=300)
+    back = matrices.read(spark, folder, partition_bytes=16 << 10)
+    return back.select(
+        "id",
+        F.size("embedding").cast("long").alias("width"),
+        F.element_at("embedding", 1).cast("double").alias("first_value"),
+        F.element_at("embedding", -1).cast("double").alias("last_value"),
+    )
+
+
 @query(
     "merge_null_fields",
     f"""WITH {sql.ARTICLES}, kept AS (SELECT * FROM articles QUALIFY row_number() OVER (PARTITION BY link ORDER BY id) = 1)
