@@ -1172,10 +1172,14 @@ def json_dump(spark, d, wrapped: bool) -> str:
     return folder
 
 
-def json_read(spark, d, wrapped: bool):
-    """The four files, read last file first. seq shows the order."""
+def json_read(spark, d, wrapped: bool, range_bytes: int | None = None):
+    """The four files, read last file first, whole or in ranges. seq shows the order."""
     folder = json_dump(spark, d, wrapped)
-    found = json_articles.read(spark, [f"{folder}/part={i}" for i in (3, 2, 1, 0)], now())
+    paths = [f"{folder}/part={i}" for i in (3, 2, 1, 0)]
+    if range_bytes is None:
+        found = json_articles.read(spark, paths, now())
+    else:
+        found = json_articles.read_list(spark, paths, now(), range_bytes)
     place = F.row_number().over(Window.partitionBy("source").orderBy("seq"))
     return found.select("id", "title", "link", "category", "language", "source", "crawled_time", place.alias("place"))
 
@@ -1186,6 +1190,7 @@ SELECT id, title, link, CASE WHEN category IS NULL AND id % 2 = 1 THEN 'Unknown'
        row_number() OVER (PARTITION BY source ORDER BY id % 4 DESC, id) AS place FROM articles"""
 query("json_list_read", _JSON_READ)(lambda spark, d: json_read(spark, d, False))
 query("json_wrapped_read", _JSON_READ)(lambda spark, d: json_read(spark, d, True))
+query("json_ranges_read", _JSON_READ)(lambda spark, d: json_read(spark, d, False, range_bytes=64 << 10))
 
 
 @query(
