@@ -1232,9 +1232,7 @@ def _(spark, d):
 )
 def _(spark, d):
     folder = fresh_folder(spark)
-    schema = t.table(spark, d, "documents").schema
-    landed = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(d)
-    items = landed.select(
+    items = t.stream(spark, d, "documents").select(
         F.col("doc_id").alias("id"),
         F.concat(F.lit("https://example.org/"), F.md5("text")).alias("link"),
         F.timestamp_seconds(F.lit(1_704_067_200) + F.col("doc_id") % 86_400).alias("landed_at"),
@@ -1323,9 +1321,7 @@ SELECT row_number() OVER (ORDER BY id) - 1 AS id, link, title FROM (
 def _(spark, d):
     # Documents land as a stream; every batch is merged into the stored articles.
     root = fresh_folder(spark)
-    schema = t.table(spark, d, "documents").schema
-    landed = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(d)
-    items = landed.select(
+    items = t.stream(spark, d, "documents").select(
         F.col("doc_id").alias("seq"),
         t.first_line(F.col("text")).alias("title"),
         F.concat(F.lit("https://example.org/"), F.md5("text")).alias("link"),

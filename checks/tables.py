@@ -9,6 +9,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The rows of a table as they land, in one file or in a folder of files. A stream takes no single
+    file by its plain name; a pattern finds either."""
+    schema = table(spark, sf_dir, name).schema
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
+
+
 def first_line(c):
     return F.substring_index(c, "\n", 1)
 
