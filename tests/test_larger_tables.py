@@ -24,3 +24,50 @@ def test_streams_read_a_table_in_a_folder(spark, tmp_path):
     assert sorted(r.id for r in merged.collect()) == list(range(30))
     assert QUERIES["stream_first_links"](spark, d).agg(F.sum("n")).first()[0] == 30
     assert t.stream(spark, d, "documents").schema == t.table(spark, d, "documents").schema
+
+
+def test_a_task_keeps_its_share_as_tables_grow(spark):
+    from newsloom.operators import keyword
+
+    text = F.concat_ws(" ", F.lit("shared"), *[F.sha2(F.concat(F.col("id"), F.lit(f"/{i}")), 512) for i in range(8)])
+
+    def parts(n):
+        rows = spark.range(n, numPartitions=4).select("id", F.lit("title").alias("title"), text.alias("summary"))
+        return keyword.build(rows).postings.rdd.getNumPartitions()
+
+    # Twelve or more partitions of 8 MB, though spark.sql.shuffle.partitions is 8 here.
+    assert parts(100_000) >= 12 > parts(1_000)
+
+
+def test_a_merge_moves_texts_once(spark, monkeypatch):
+    from newsloom.operators import merge
+
+    names = "id long, title string, summary string, link string, published string, category string, language string, source string, crawled_time string, seq long"
+    rows = [(i, f"t{i}", "words " * 50, f"http://x/{i}", "", "c", "en", "s", "2024-01-01", i) for i in range(20)]
+    frame = lambda rows: spark.createDataFrame(rows, names).repartition(2)
+    seen = []
+    whole = merge.checkpoint
+    monkeypatch.setattr(merge, "checkpoint", lambda df: (seen.append(df), whole(df))[1])
+    done = merge.upsert(frame(rows[:15]), frame(rows[10:]), F.lit("2024-03-01").cast("timestamp"))
+    assert done.counters.first().total == 20
+    short = next(df for df in seen if "base_at" not in df.columns)
+    assert "summary" not in short.columns and short.count() == 10
+    plan = next(df for df in seen if "base_at" in df.columns)._jdf.queryExecution().executedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Sort " in line and "summary" in line]
+
+
+def test_articles_meet_events_without_a_shuffle_of_texts(spark, tmp_path):
+    d = _documents(spark, tmp_path)
+    spark.range(0, 40, 2).select(F.col("id").alias("doc_id"), F.lit(1).alias("quality"), F.lit(0).alias("toxic")).write.parquet(f"{d}/labels.parquet")
+    events = spark.range(1000).select((F.col("id") + 10).alias("event_id"), F.timestamp_seconds(F.col("id")).alias("ts"))
+    events.unionByName(events.where("event_id = 12")).write.parquet(f"{d}/events.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = t.articles(spark, d)
+        assert "Exchange hashpartitioning" not in got._jdf.queryExecution().executedPlan().toString()
+        rows = got.select("id", "published", "category").collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Every document, one of them twice for its two events; those without one too.
+    assert len(rows) == 41 and sum(r.published is None for r in rows) == 10 and sum(r.category == "good" for r in rows) == 21
