@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from newsloom.llm import textbytes as tb
 from newsloom.llm.graph import components
-from newsloom.llm.tables import column, free_name, hinted, keyed, stored
+from newsloom.llm.tables import column, free_name, hinted, keyed, partitions, stored
 
 SHINGLE = 5
 BANDS, ROWS = 32, 3  # documents of similarity 0.75 miss each other once in 40 million pairs
@@ -30,6 +30,8 @@ BASE, RATE, LARGEST = 1.001, 20.0, 65535  # of the logarithmic register scale
 #: Pairs that pass the estimate are verified; at similarity 0.75 it lies six deviations higher.
 LEAST_ESTIMATE = 0.5
 BLOCK = 1024
+#: Rows of a task that compares documents still apart; a row costs up to BLOCK comparisons, whatever its bytes.
+ROWS_APART = 4096
 
 _SALT = np.uint64(0xA24BAED4963EE407)
 _FACTORS = tb.splitmix(REGISTERS, 4242) | np.uint64(1)
@@ -106,6 +108,21 @@ def estimate(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray) -> np
     return (low + high) / 2
 
 
+def likely(x: np.ndarray, y: np.ndarray, nx: np.ndarray, ny: np.ndarray, least: float = LEAST_ESTIMATE) -> np.ndarray:
+    """Whether estimate() is at least so much. The likelihood is concave, so its slope there tells."""
+    more, less = (x > y).sum(axis=1), (x < y).sum(axis=1)
+    equal = REGISTERS - more - less
+    u = nx / (nx + ny)
+    v = 1 - u
+    possible = np.minimum(u / v, v / u) >= least
+    c, log = (BASE - 1) / BASE, np.log(BASE)
+    a, b = np.clip(u - v * least, 1e-12, 1), np.clip(v - u * least, 1e-12, 1)
+    up, down = -np.log1p(-a * c) / log, -np.log1p(-b * c) / log
+    up_slope, down_slope = -v * c / ((1 - a * c) * log), -u * c / ((1 - b * c) * log)
+    rest = np.maximum(1 - up - down, 1e-12)
+    return possible & (more * up_slope / up + less * down_slope / down - equal * (up_slope + down_slope) / rest >= 0)
+
+
 def _as_rows(cell: pa.Array, dtype, width: int) -> np.ndarray:
     data, offsets = np.frombuffer(cell.buffers()[2], np.uint8), np.frombuffer(cell.buffers()[1], np.int32)
     at = offsets[cell.offset : cell.offset + len(cell) + 1]
@@ -179,7 +196,7 @@ def plausible(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
             if batch.num_rows:
                 x, y = (_as_rows(_whole(batch, c), np.uint16, REGISTERS) for c in ("sketch_a", "sketch_b"))
                 nx, ny = (batch.column(c).to_numpy().astype(float) for c in ("n_a", "n_b"))
-                good = pa.array(estimate(x, y, nx, ny) >= LEAST_ESTIMATE)
+                good = pa.array(likely(x, y, nx, ny))
                 yield batch.select(["a", "b"]).filter(good)
 
     side = lambda s: sketches.select(
@@ -229,16 +246,15 @@ def apart(members: DataFrame, sketches: DataFrame) -> DataFrame:
         shift = (16 * np.arange(ROWS)).astype(np.uint64)
         bands = (cells.reshape(-1, BANDS, ROWS).astype(np.uint64) << shift).sum(axis=2, dtype=np.uint64)
         band = (bands == bands[0]).all(axis=0).argmax()
+        earlier = np.ascontiguousarray(bands[:, :band])
         for i in np.flatnonzero(outside).tolist():
             fresh = (component != component[i]) & (~outside | (places > i)) & ((side != side[i]) | (side[i] == 0))
             other = np.flatnonzero(fresh & (100 * np.minimum(n, n[i]) >= 75 * np.maximum(n, n[i])))
-            other = other[(bands[other] == bands[i]).argmax(axis=1) == band]
+            other = other[~(earlier[other] == earlier[i]).any(axis=1)]
             other = other[(cells[other] == cells[i]).sum(axis=1) >= 0.4 * REGISTERS]
             if not len(other):
                 continue
-            mine = np.repeat(cells[i : i + 1], len(other), axis=0)
-            good = estimate(mine, cells[other], np.full(len(other), float(n[i])), n[other].astype(float))
-            other = other[good >= LEAST_ESTIMATE]
+            other = other[likely(cells[i : i + 1], cells[other], float(n[i]), n[other].astype(float))]
             single = (size[other] == 1) & (size[i] == 1)
             larger = (size[other] > size[i]) | ((size[other] == size[i]) & (component[other] > component[i]))
             found = np.empty((len(other), 3), np.int64)
@@ -253,7 +269,10 @@ def apart(members: DataFrame, sketches: DataFrame) -> DataFrame:
         F.min("component").alias("_low"), F.max("component").alias("_high"), F.count("*").alias("_size")
     ).filter("_low < _high")
     blocks = F.ceil(F.col("_size") / BLOCK).cast("int")
-    placed = members.join(torn.select("bucket", blocks.alias("blocks")), "bucket").withColumn("block", _part("id", "blocks"))
+    torn = torn.select("bucket", blocks.alias("blocks"))
+    placed = stored(members.join(torn, "bucket").withColumn("block", _part("id", "blocks")), "placed")
+    # A stated number of tasks, which Spark does not join by their few bytes.
+    rows = placed.agg(F.coalesce(F.sum("blocks"), F.lit(0))).first()[0]
     dealt = (
         placed.withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .join(sketches.select("id", "n", "sketch"), "id")
@@ -269,6 +288,7 @@ def apart(members: DataFrame, sketches: DataFrame) -> DataFrame:
             "sketch",
         )
     )
+    dealt = dealt.repartition(partitions(members.sparkSession, rows, ROWS_APART), "bucket", "i", "j")
     return dealt.groupBy("bucket", "i", "j").applyInArrow(run, "id long, other long, whole boolean").distinct()
 
 

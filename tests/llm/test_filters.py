@@ -57,6 +57,34 @@ def test_sketches_merge_and_estimate():
     assert abs(found - 0.5) < 0.2
 
 
+def test_slope_of_the_likelihood_tells_what_the_estimate_does():
+    rng = np.random.default_rng(2)
+    x, y, nx, ny = [], [], [], []
+    for _ in range(2000):
+        a, b = (int(k) for k in rng.integers(20, 400, 2))
+        e = rng.integers(0, 1 << 63, a + b, np.uint64)
+        x.append(near_dedup.registers(near_dedup.smallest(e[:a])))
+        y.append(near_dedup.registers(near_dedup.smallest(e[int(rng.integers(0, a)) :])))
+        nx.append(float(a))
+        ny.append(float(b))
+    x, y, nx, ny = map(np.array, (x, y, nx, ny))
+    found = near_dedup.estimate(x, y, nx, ny)
+    sure = abs(found - near_dedup.LEAST_ESTIMATE) > 1e-6
+    assert (near_dedup.likely(x, y, nx, ny) == (found >= near_dedup.LEAST_ESTIMATE))[sure].all()
+
+
+def test_documents_still_apart_are_dealt_to_stated_tasks(spark, monkeypatch):
+    """Their comparisons cost more than their bytes tell, so Spark must not join the tasks."""
+    monkeypatch.setattr(near_dedup, "ROWS_APART", 10)
+    rng = np.random.default_rng(3)
+    sets = [rng.integers(0, 1 << 63, 50, np.uint64) for _ in range(200)]
+    sketch = lambda e: near_dedup.registers(near_dedup.smallest(e)).tobytes()
+    sketches = spark.createDataFrame([(i, 50, bytearray(sketch(e))) for i, e in enumerate(sets)], "id long, n long, sketch binary")
+    members = spark.createDataFrame([(i // 2, i, i, 1) for i in range(200)], "bucket long, id long, component long, size long")
+    plan = near_dedup.apart(members, sketches)._jdf.queryExecution().toString()
+    assert re.search(r"hashpartitioning\(bucket#\d+L?, i#\d+, j#\d+, 20\), REPARTITION_BY_NUM", plan)
+
+
 def test_deduplicated_keeps_own_columns(edge_docs, edge_rows):
     kept = near_dedup.deduplicated(edge_docs)
     assert kept.columns == edge_docs.columns
