@@ -71,3 +71,25 @@ def test_articles_meet_events_without_a_shuffle_of_texts(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     # Every document, one of them twice for its two events; those without one too.
     assert len(rows) == 41 and sum(r.published is None for r in rows) == 10 and sum(r.category == "good" for r in rows) == 21
+
+
+def test_a_scan_keeps_its_share_as_tables_grow(spark, tmp_path):
+    """A task that scores stored postings holds the pairs of the documents it reads."""
+    folder = str(tmp_path / "postings")
+    spark.range(200_000, numPartitions=24).select(F.sha2(F.col("id").cast("string"), 512).alias("token")).write.parquet(folder)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")  # as if there were far more files than cores
+    try:
+        assert spark.read.parquet(folder).rdd.getNumPartitions() >= 6
+    finally:
+        spark.conf.unset("spark.sql.files.minPartitionNum")
+
+
+def test_lengths_of_documents_are_stored_without_moving_texts(spark):
+    from newsloom.operators import keyword
+    from newsloom.plans import build
+
+    rows = [(1, "a title", "some words and words"), (2, None, None), (3, "", "<p>x</p>"), (3, "b", "y z")]
+    docs = spark.createDataFrame(rows, "id long, title string, summary string")
+    lengths = build.word_tables(docs)["doc_stats"]
+    assert "Exchange" not in lengths._jdf.queryExecution().executedPlan().toString()
+    assert sorted(lengths.collect()) == sorted(keyword.build(docs).doc_stats.collect())
