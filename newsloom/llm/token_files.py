@@ -32,6 +32,10 @@ BATCH = 256  # sequences in a batch
 ROWS_PER_FILE = 20_000
 #: Distinct pieces of text whose ids a worker remembers before it starts anew.
 REMEMBERED = 2_000_000
+#: Bytes of text that are encoded at once, at least one row, and pieces that the library is given at once: what it
+#: returns for a piece is many times the piece, and freed memory stays with the worker.
+SLICE_BYTES = 512 << 10
+PIECES = 4096
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -119,6 +123,16 @@ class Encoder:
     def _encode(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encoded(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the texts that lie there, how many each has)."""
+        ids, counts = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
+        for at in range(0, len(starts), PIECES):
+            bounds = zip(starts[at : at + PIECES].tolist(), ends[at : at + PIECES].tolist())
+            made = self._encode([data[a:b].tobytes().decode() for a, b in bounds])
+            counts.append(np.fromiter(map(len, made), np.int64, len(made)))
+            ids.append(np.fromiter((i for one in made for i in one), np.uint32, int(counts[-1].sum())))
+        return np.concatenate(ids), np.concatenate(counts)
+
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows, where each row's begin, with the end appended)."""
         if not self.cuttable:
@@ -177,10 +191,7 @@ class Encoder:
         new = np.flatnonzero(~held)
         if len(new):
             place[new] = len(self.keys) + np.arange(len(new))
-            whole = data.tobytes()
-            made = self._encode([whole[a : a + n].decode() for a, n in zip(starts[new].tolist(), lengths[new].tolist())])
-            n = np.fromiter(map(len, made), np.int64, len(made))
-            flat = np.fromiter((i for ids in made for i in ids), np.uint32, int(n.sum()))
+            flat, n = self._encoded(data, starts[new], starts[new] + lengths[new])
             self.ids = np.concatenate((self.ids, flat))
             self.ids_at = np.concatenate((self.ids_at, self.ids_at[-1] + np.cumsum(n)))
             self.text = np.concatenate((self.text, data[_ranges(starts[new], lengths[new])]))
@@ -191,10 +202,8 @@ class Encoder:
         return place
 
     def _plainly(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        whole = data.tobytes()
-        made = self._encode([whole[a:b].decode() for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())])
-        at = np.concatenate(([0], np.cumsum([len(x) for x in made]))).astype(np.int64)
-        return np.fromiter((i for ids in made for i in ids), np.uint32, int(at[-1])), at
+        ids, n = self._encoded(data, offsets[:-1], offsets[1:])
+        return ids, np.concatenate(([0], np.cumsum(n)))
 
 
 def _ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -334,7 +343,7 @@ def write(
             for batch in batches:
                 data, offsets = tb.raw(batch.column("text"))
                 ids_of = batch.column("doc_id")
-                for first, piece, bounds in tb.sliced(data, offsets):
+                for first, piece, bounds in tb.sliced(data, offsets, SLICE_BYTES):
                     if writer is None:
                         file = f"{uri}/part-{part:06d}-{uuid.uuid4().hex}.arrow"
                         writer = Writer(file, sequence, kind)

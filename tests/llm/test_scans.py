@@ -222,3 +222,17 @@ def test_pieces_that_share_a_hash_are_noticed(monkeypatch):
     data, offsets = tb.raw(pa.array(["one two three", "four five"]))
     ids, at = encode(data, offsets)
     assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == encode._encode(["one two three", "four five"])
+
+
+def test_the_library_gets_few_pieces_at_once(monkeypatch):
+    """What it returns for a piece is many times the piece, and a worker keeps that memory."""
+    monkeypatch.setattr(token_files, "PIECES", 100)
+    given, whole = [], token_files.Encoder._encode
+    monkeypatch.setattr(token_files.Encoder, "_encode", lambda self, texts: (given.append(len(texts)), whole(self, texts))[1])
+    texts = [f"word{i} and {i * 7}" for i in range(900)] + ["", None]
+    encode = token_files.Encoder(TOKENIZER)
+    ids, at = encode(*tb.raw(pa.array(texts)))
+    assert sum(given) > 900 and max(given) <= 100
+    plain_encode = Tokenizer.from_file(TOKENIZER).encode
+    want = [plain_encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
