@@ -8,7 +8,9 @@ therefore spread over all partitions and never gathered.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import math
+from collections.abc import Callable
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -32,6 +34,10 @@ RARE_DEPTH = 2
 # Collections of so many documents are searched by blocks; in smaller ones more steps cost more.
 PRUNED_FROM = 1_000_000
 
+# What one task of an index built on the fly scores: pairs of a document and a query, and bytes of text.
+PAIRS_PER_TASK = 400_000
+TEXT_PER_TASK = 12 << 20
+
 # Batches with up to so many different words filter by a list in the plan.
 SHORT_WORD_LIST = 200
 
@@ -44,13 +50,15 @@ RANK_DIGITS = 9
 class KeywordIndex:
     """postings(token, doc_id, tf, dl), doc_stats(doc_id, dl), term_stats(token, df), and where
     it is stored, the one row of corpus_stats(n_docs, avg_dl) and blocks(token, block, max_tf, min_dl,
-    parts), what a word can bring at most in a block of documents."""
+    parts), what a word can bring at most in a block of documents. An index built on the fly can be dealt to
+    the tasks again for a number of queries, by dealt."""
 
     postings: DataFrame
     doc_stats: DataFrame
     term_stats: DataFrame
     stored_corpus_stats: DataFrame | None = None
     blocks: DataFrame | None = None
+    dealt: Callable[[int], KeywordIndex] | None = None
 
     def corpus_stats(self) -> DataFrame:
         if self.stored_corpus_stats is not None:
@@ -78,10 +86,26 @@ def moved_stats(before: DataFrame, removed: DataFrame, added: DataFrame) -> Data
 
 def build(articles: DataFrame, body: Column | None = None) -> KeywordIndex:
     """Index of articles(id, title, summary), or of one text expression given as body."""
+    sized = [F.col("title"), F.col("summary")] if body is None else [body]
     body = _body() if body is None else body
+    texts = articles.select(F.col("id").alias("doc_id"), body.alias("body"))
+
+    def dealt(n_queries: int) -> KeywordIndex:
+        # A task holds the pairs that it scores. Documents are counted for that: the bytes by which Spark joins
+        # partitions say little about their number, and nothing about that of the queries.
+        size = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in sized), F.lit(0))
+        n, length = articles.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+        at_once = min(articles.sparkSession.sparkContext.defaultParallelism, length >> 20)
+        parts = max(1, at_once, math.ceil(n * n_queries / PAIRS_PER_TASK), math.ceil(length / TEXT_PER_TASK))
+        return _index(texts.repartition(parts, "doc_id"))
+
     # The cleaned texts move once. Cleaning stays before the shuffle: its Python step would
     # hide from Spark how the rows after it are partitioned.
-    texts = articles.select(F.col("id").alias("doc_id"), body.alias("body")).repartition("doc_id")
+    return replace(_index(texts.repartition("doc_id")), dealt=dealt)
+
+
+def _index(texts: DataFrame) -> KeywordIndex:
+    """Index of texts(doc_id, body) that were dealt out by doc_id."""
     # The outer explode keeps Spark from inferring a not-empty filter on the tokens, which it
     # would push below the shuffle, tokenising every text twice.
     postings = (
@@ -149,6 +173,8 @@ def saturation(tf: Column, dl: Column, avg_dl: Column, k1: float = K1, b: float
 
 def scores(index: KeywordIndex, queries: DataFrame, k1: float = K1, b: float = B) -> DataFrame:
     """(query_id, doc_id, score) of every document sharing a word with a query."""
+    if index.dealt is not None:
+        index = index.dealt(queries.count())
     weighted, asked_for, hint = _weighted(index, queries)
     return _scored(asked_for(index.postings).join(hint(weighted), "token"), k1, b)
 

@@ -93,3 +93,19 @@ def test_lengths_of_documents_are_stored_without_moving_texts(spark):
     lengths = build.word_tables(docs)["doc_stats"]
     assert "Exchange" not in lengths._jdf.queryExecution().executedPlan().toString()
     assert sorted(lengths.collect()) == sorted(keyword.build(docs).doc_stats.collect())
+
+
+def test_a_task_scores_so_many_pairs_at_any_number_of_queries(spark, monkeypatch):
+    from newsloom.operators import keyword
+
+    docs = spark.range(400).select("id", F.lit("a title").alias("title"), F.concat(F.lit("shared word"), F.col("id") % 7).alias("summary"))
+    asked = spark.range(100).select(F.col("id").alias("query_id"), F.concat(F.lit("shared word"), F.col("id") % 9).alias("query"))
+    index = keyword.build(docs)
+    row = lambda r: (r.query_id, r.doc_id, round(r.score, 9))
+    want = sorted(map(row, keyword.scores(index, asked).collect()))
+    monkeypatch.setattr(keyword, "PAIRS_PER_TASK", 1000)
+    found = keyword.scores(index, asked)
+    assert found.rdd.getNumPartitions() >= 40 and len(want) == 40_000
+    assert sorted(map(row, found.collect())) == want
+    empty = keyword.build(docs.where("id < 0"))
+    assert keyword.scores(empty, asked).collect() == [] == keyword.scores(index, asked.where("query_id < 0")).collect()
