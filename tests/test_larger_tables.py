@@ -109,3 +109,27 @@ def test_a_task_scores_so_many_pairs_at_any_number_of_queries(spark, monkeypatch
     assert sorted(map(row, found.collect())) == want
     empty = keyword.build(docs.where("id < 0"))
     assert keyword.scores(empty, asked).collect() == [] == keyword.scores(index, asked.where("query_id < 0")).collect()
+
+
+def test_an_update_does_not_sort_postings(spark):
+    from newsloom.operators import keyword
+    from newsloom.plans import build
+
+    docs = spark.createDataFrame([(i, "t", f"shared word{i}") for i in range(30)] + [(None, "t", "word0")], "id long, title string, summary string")
+    gone = docs.where("id % 3 = 0").select("id")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    for c, value in zip(before, ("-1", "false")):
+        spark.conf.set(c, value)
+    try:
+        for bound in (4, 1 << 20):
+            after = build.update_keywords(keyword.build(docs), docs.where("id = 3"), gone.unionByName(gone), max_broadcast_rows=bound)
+            for made in (after.postings, after.term_stats):
+                plan = made._jdf.queryExecution().executedPlan().toString()
+                assert "SortMergeJoin" not in plan and ("ShuffledHashJoin" in plan) == (bound == 4)
+            assert after.postings.count() == 2 * 21 + 1
+            df = {r.token: r.df for r in after.term_stats.collect()}
+            assert df == {"shared": 21, "word3": 1, "word0": 1, **{f"word{i}": 1 for i in range(30) if i % 3}}
+            assert after.doc_stats.count() == 22
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
